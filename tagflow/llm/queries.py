@@ -4,17 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tagflow.llm.deleted_interpolation import interpolated_scores
 from tagflow.llm.prefix_join import jaccard_components
 from tagflow.llm.shared import table
 
 
+def remainder(n: int) -> Column:
+    """crc32 of the doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_scores(table(spark, sf_dir, "documents"), remainder(10) == 0, remainder(10) == 1)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_deleted_interpolation": op2_deleted_interpolation,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
 }
 
