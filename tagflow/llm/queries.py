@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagflow.llm.byte_cnn import quality_scores
+from tagflow.llm.decontamination import contained_items
 from tagflow.llm.deleted_interpolation import interpolated_scores
+from tagflow.llm.host_rules import judge
+from tagflow.llm.language_id import predict
 from tagflow.llm.prefix_join import jaccard_components
 from tagflow.llm.shared import table
+from tagflow.llm.slots import sharded
+from tagflow.llm.source_mix import mixed
 
 
 def remainder(n: int) -> Column:
@@ -17,17 +23,47 @@ def remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_scores(table(spark, sf_dir, "documents"), remainder(10) == 0, remainder(10) == 1)
 
 
+def op3_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(5) == 0)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
 
 
+def op6_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents")).drop("source")
+
+
+def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict(table(spark, sf_dir, "documents"), remainder(4) != 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_host_quality_rules": op1_host_quality_rules,
     "op2_deleted_interpolation": op2_deleted_interpolation,
+    "op3_byte_cnn_quality": op3_byte_cnn_quality,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op6_benchmark_containment": op6_benchmark_containment,
+    "op7_source_mix": op7_source_mix,
+    "op9_virtual_slots": op9_virtual_slots,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
