@@ -16,6 +16,8 @@ from tagflow.llm.prefix_join import jaccard_components
 from tagflow.llm.shared import table
 from tagflow.llm.slots import sharded
 from tagflow.llm.source_mix import mixed
+from tagflow.llm.tool_calls import CHAT_TOOLS, chat_calls, linked_calls
+from tagflow.llm.url_globs import filter_urls
 
 
 def remainder(n: int) -> Column:
@@ -39,6 +41,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
 
 
+def op5_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op6_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +53,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_calls(*chat_calls(table(spark, sf_dir, "conversations")), CHAT_TOOLS)
+
+
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"))
 
@@ -60,8 +70,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_deleted_interpolation": op2_deleted_interpolation,
     "op3_byte_cnn_quality": op3_byte_cnn_quality,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_url_globs": op5_url_globs,
     "op6_benchmark_containment": op6_benchmark_containment,
     "op7_source_mix": op7_source_mix,
+    "op8_tool_calls": op8_tool_calls,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_language_id": op10_language_id,
 }
