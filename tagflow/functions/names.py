@@ -49,7 +49,7 @@ def clean_raw_labels(value: Column) -> Column:
 
 def tokens(value: Column, sep: str = "|") -> Column:
     """Trimmed, non-empty tokens; a null or empty value has none."""
-    parts = F.transform(F.split(F.coalesce(value, F.lit("")), f"[{sep}]"), F.trim)
+    parts = F.transform(F.split(F.coalesce(value, F.lit("")), f"[{sep}]"), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

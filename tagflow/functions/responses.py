@@ -12,9 +12,10 @@ FENCE = "```"
 
 def response_text(raw: Column) -> Column:
     """The JSON in an answer: what is between code fences if it begins with one, without a leading word json."""
-    text = F.trim(raw)
+    strip = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
+    text = strip(raw)
     fenced = F.regexp_replace(F.get(F.split(text, FENCE), F.lit(1)), r"^json", "")
-    return F.trim(F.when(text.startswith(FENCE), fenced).otherwise(text))
+    return strip(F.when(text.startswith(FENCE), fenced).otherwise(text))
 
 
 def parse_model_json(raw: Column, schema: str = "map<string,string>") -> Column:

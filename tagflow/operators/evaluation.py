@@ -166,8 +166,11 @@ def unknown_terms(pairs: DataFrame) -> DataFrame:
 def term_frequency(df: DataFrame, names: Sequence[str], lists: Sequence[str]) -> DataFrame:
     """kind, term, n of single names and of names in lists."""
     one = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("term")) for c in names])
-    many = F.concat(*[F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x, c=c: F.struct(F.lit(c).alias("kind"), x.alias("term"))) for c in lists]) if lists else F.array().cast("array<struct<kind:string,term:string>>")
-    return df.select(F.explode(F.concat(one, many)).alias("t")).where("t.term IS NOT NULL AND t.term <> ''").groupBy("t.kind", "t.term").agg(F.count("*").alias("n"))
+
+    def listed(c: str) -> Column:
+        return F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: F.struct(F.lit(c).alias("kind"), x.alias("term")))
+
+    return df.select(F.explode(F.concat(one, *map(listed, lists))).alias("t")).where("t.term IS NOT NULL AND t.term <> ''").groupBy("t.kind", "t.term").agg(F.count("*").alias("n"))
 
 
 def attribute_prevalence(long: DataFrame) -> DataFrame:
