@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagflow.llm import oracle
 from tagflow.llm.byte_cnn import quality_scores
 from tagflow.llm.decontamination import contained_items
 from tagflow.llm.deleted_interpolation import interpolated_scores
@@ -26,7 +27,7 @@ def remainder(n: int) -> Column:
 
 
 def op1_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "documents"))
+    return judge(table(spark, sf_dir, "documents")).withColumn("host_rate", F.round("host_rate", 6))
 
 
 def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,7 @@ def op6_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed(table(spark, sf_dir, "documents")).drop("source")
+    return mixed(table(spark, sf_dir, "documents")).drop("source").withColumn("target", F.round("target", 6))
 
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,4 +79,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL
