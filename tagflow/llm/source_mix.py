@@ -108,7 +108,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), block_words: in
     result. A source without words has target 0. Other columns are ignored.
     """
     # documents in an order of their own: by hash of id and text, the lane being its leading part
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.crc32(F.coalesce(F.col("text"), F.lit(""))).cast("string")))
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col("text"), F.lit(""))))
     sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"))
                     .withColumn("lane", F.conv(F.substring("key", 1, 2), 16, 10).cast("int")), "sized")
     per_lane = written(sized.groupBy("source", "lane").agg(F.sum("size").alias("words")), "lanes")
