@@ -109,15 +109,26 @@ def prefixes(docs: DataFrame, width: int, percent: int, sketch_bits: int) -> Dat
     return docs.select("doc_id", "text").mapInArrow(features, "doc_id long, n long, sig long, prefix array<long>")
 
 
-def _set_table(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, sig-free whole sets as packed sorted hashes."""
+def _set_table(docs: DataFrame, wanted: DataFrame, width: int, cells: int = 1 << 20) -> DataFrame:
+    """id and whole set (packed sorted hashes) of the wanted documents, and of a few others.
+
+    The wanted ids go to the tasks as cells bits, a size that does not grow with the data: texts
+    need not be shuffled, and a document that shares a bit with a wanted one does no harm.
+    """
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(cells)).cast("int").alias("cell")
+    hit = np.zeros(cells, bool)
+    hit[wanted.select(cell).distinct().toPandas()["cell"].to_numpy(np.int64)] = True
+    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(hit))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sets = [s.tobytes() for s in _sets(batch, width)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.binary())], ["id", "shingles"])
+        keep = np.unpackbits(bits.value)
+        for batch in batches:
+            own = batch.filter(pa.array(keep[batch.column("cell").to_numpy()].astype(bool)))
+            for part in slices(iter([own]), "text"):
+                sets = [s.tobytes() for s in _sets(part, width)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(sets, pa.binary())], ["id", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(pack, "id long, shingles binary")
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "text", cell).mapInArrow(pack, "id long, shingles binary")
 
 
 def _block_links(percent: int):
@@ -202,8 +213,6 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, sketc
     lists = written(
         posts.groupBy("token").agg(F.count("*").alias("k"), F.min("g").alias("low"), F.max("g").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
         .where("k > 1").where(f"k > 2 OR 100 * least >= {percent} * most"), "lists")
-    sparse = lists.where(f"k BETWEEN 3 AND {few}").select("token")
-    dense = lists.where(f"k > {few}").select("token", F.col("low").alias("head"))
     shared = written(posts.join(lists.where("k > 2").select("token", "k", "low"), "token").select("token", "g", "n", "k", "low"), "shared_posts")
 
     # pairs from shingles held by few groups, with the number of prefix shingles they share
@@ -231,8 +240,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, sketc
     expanded = written(
         pairs.join(one, "a", "left").join(two_side, "b", "left").select(F.coalesce("ia", "a").alias("a"), F.coalesce("ib", "b").alias("b")).distinct(), "class_pairs")
 
-    wanted = expanded.select(F.col("a").alias("doc_id")).union(expanded.select("b")).union(crowds.select("node")).distinct()
-    sets = written(_set_table(docs.where("doc_id IS NOT NULL").select("doc_id", "text").join(wanted, "doc_id", "left_semi"), width), "sets")
+    wanted = expanded.select(F.col("a").alias("doc_id")).union(expanded.select("b")).union(crowds.select("node"))
+    sets = written(_set_table(docs, wanted, width), "sets")
     pair_links = expanded.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").mapInArrow(_verify(percent), "a long, b long")
 
