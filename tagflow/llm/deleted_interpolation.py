@@ -130,7 +130,8 @@ class _Block:
 def _requests(bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 block = _Block(row)
                 out: dict[str, list] = {k: [] for k in ("ngrams", "bucket", "block", "tuning", "n", "keys", "counts")}
                 for order in (1, 2):
@@ -246,7 +247,7 @@ def _scores(weights: np.ndarray, tokens: int, types: int):
     return score
 
 
-def interpolated_scores(docs: DataFrame, held_out, tuning, block_bytes: int = 8 << 20, bucket_entries: int = 1 << 20) -> DataFrame:
+def interpolated_scores(docs: DataFrame, held_out, tuning, block_bytes: int = 4 << 20, bucket_entries: int = 1 << 19) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     held_out: column, true for documents that nothing is learned from. tuning: true for
