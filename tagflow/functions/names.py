@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 def path_parts(path: Column) -> Column:
     """Parts of a path; comparing the arrays orders as file listings do (a/b before a-b)."""
-    return F.filter(F.split(path, "/"), lambda x: x != "")
+    return F.split(F.btrim(F.replace(path, F.lit("//"), F.lit("/")), F.lit("/")), "/")
 
 
 def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def stem(path: Column) -> Column:
