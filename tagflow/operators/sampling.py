@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +31,9 @@ def _ranked(df: DataFrame, group: list[str], seed: int, key: str) -> DataFrame:
 
 def random_split(df: DataFrame, frac: float = 0.2, seed: int = 42, key: str = "name") -> DataFrame:
     """Column split: val for ceil(frac * N) rows, train for the rest."""
-    n_val = F.ceil(F.lit(str(frac)).cast("decimal(10,6)") * F.col("__total"))
+    n_val = math.ceil(Decimal(str(frac)) * df.count())
     ranked = _ranked(df.withColumn("__all", F.lit(0)), ["__all"], seed, key)
-    total = df.agg(F.count("*").alias("__total")).withColumn("__all", F.lit(0))
-    return ranked.join(total, "__all").withColumn("split", F.when(F.col("rank") <= n_val, "val").otherwise("train")).drop("__all", "__total", "rank")
+    return ranked.withColumn("split", F.when(F.col("rank") <= n_val, "val").otherwise("train")).drop("__all", "rank")
 
 
 def stratified_quota(counts: DataFrame, frac: float) -> DataFrame:
