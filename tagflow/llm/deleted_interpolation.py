@@ -130,18 +130,19 @@ class _Block:
 def _requests(bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 block = _Block(row)
                 out: dict[str, list] = {k: [] for k in ("ngrams", "bucket", "block", "tuning", "n", "keys", "counts")}
                 for order in (1, 2):
                     names, counts = block.keys(order)
-                    cut = np.searchsorted(names >> U(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(names)])
-                    for b in np.flatnonzero(np.diff(cut)):
-                        own = names[cut[b] : cut[b + 1]] >> U(64 - KEY_BITS if order == 2 else 0)
+                    top = names >> U(64 - bits) if bits else np.zeros(len(names), np.uint64)
+                    begin = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]]))
+                    for i, j in zip(begin, [*begin[1:], len(names)], strict=True):
+                        own = names[i:j] >> U(64 - KEY_BITS if order == 2 else 0)
                         gaps = own.copy()
                         gaps[1:] -= own[:-1]
-                        for k, v in (("ngrams", order), ("bucket", int(b)), ("block", row["block"]), ("tuning", row["tuning"]), ("n", len(own)), ("keys", _pack(gaps)), ("counts", _pack(counts[cut[b] : cut[b + 1]]))):
+                        for k, v in (("ngrams", order), ("bucket", int(top[i])), ("block", row["block"]), ("tuning", row["tuning"]), ("n", len(own)), ("keys", _pack(gaps)), ("counts", _pack(counts[i:j]))):
                             out[k].append(v)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out["ngrams"], pa.int32()), pa.array(out["bucket"], pa.int32()), pa.array(out["block"]), pa.array(out["tuning"]), pa.array(out["n"], pa.int64()), pa.array(out["keys"], pa.binary()), pa.array(out["counts"], pa.binary())], list(out))
