@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Channel means and deviations of the CLIP profile, in units of 0 to 255.
-CLIP_STATS = ([122.7709, 116.7460, 104.0937], [68.5005, 66.6322, 70.3232])
+#: Channel means and deviations that the CLIP profile uses instead of channel_stats.
+CLIP_STATS = ([0.48145466, 0.4578275, 0.40821073], [0.26862954, 0.26130258, 0.27577711])
 PIXEL_SCHEMA = "name string, height int, width int, pixels binary, sums array<double>, squares array<double>"
 
 
