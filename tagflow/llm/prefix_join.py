@@ -281,9 +281,21 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Documents with a null doc_id stay: they link with nothing.
     """
     found = jaccard_components(docs, width, percent)
-    firsts = written(found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")), "firsts")
-    kept = docs.join(firsts.distinct(), F.col("doc_id") == F.col("__id"), "left_semi")
-    twice = firsts.groupBy("__id").count().where("count > 1")
-    if not twice.isEmpty():
+    gone = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct(), "gone")
+    kept = without_ids(docs.where("doc_id IS NOT NULL"), gone)
+    if not found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, cells: int = 1 << 20) -> DataFrame:
+    """docs whose doc_id is not among gone(__id); texts are shuffled only where an id may be gone.
+
+    Hashes of the ids that go, at most cells numbers, are broadcast: a document whose own is not
+    among them stays without a join on its id.
+    """
+    cell = lambda c: F.pmod(F.xxhash64(c), F.lit(cells)).cast("int")
+    marked = gone.select(cell("__id").alias("__cell")).distinct()
+    clear = docs.join(F.broadcast(marked), cell("doc_id") == F.col("__cell"), "left_anti")
+    doubtful = docs.join(F.broadcast(marked), cell("doc_id") == F.col("__cell"), "left_semi")
+    return clear.unionByName(doubtful.join(gone, F.col("doc_id") == F.col("__id"), "left_anti"))
