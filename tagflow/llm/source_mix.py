@@ -98,6 +98,11 @@ def schedule(targets: DataFrame, block_words: int, slots: int | None = None) ->
     return ranked.where(slot_rank < MOST_TIMES * blocks).select("source", F.pmod(slot_rank, blocks).alias("block")).groupBy("source", "block").agg(F.count("*").alias("times"))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A key of a row that rows without an id have too: md5 of the id and the text."""
+    return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text, F.lit(""))))
+
+
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), block_words: int = 32) -> DataFrame:
     """One row per row of docs(doc_id, text, source): doc_id, source, size, source_size, target, taken.
 
@@ -107,8 +112,13 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), block_words: in
     block_words words. Equal rows are dealt alike in any order; a rerun gives the same
     result. A source without words has target 0. Other columns are ignored.
     """
+    return _dealt(docs, weights, block_words).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def _dealt(docs: DataFrame, weights: tuple[int, ...], block_words: int) -> DataFrame:
+    """The rows of mixed() with their row_key as key."""
     # documents in an order of their own: by hash of id and text, the lane being its leading part
-    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col("text"), F.lit(""))))
+    key = row_key(F.col("doc_id"), F.col("text"))
     sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"))
                     .withColumn("lane", F.conv(F.substring("key", 1, 2), 16, 10).cast("int")), "sized")
     per_lane = written(sized.groupBy("source", "lane").agg(F.sum("size").alias("words")), "lanes")
@@ -123,15 +133,18 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), block_words: in
     words_in = F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("first"), F.col("block") * block_words)
     taken = _source_join(pieces, schedule(targets, block_words), "block").groupBy("source", "first").agg(F.sum(words_in * F.col("times")).alias("taken"))
     # a place in a source's stream names the document that begins there, if it has words
-    with_taken = _source_join(streams.where("size > 0"), taken, "first", how="left").select("doc_id", "source", "size", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
-    every = with_taken.unionByName(streams.where("size = 0").select("doc_id", "source", "size", F.lit(0).cast("long").alias("taken")))
-    return _source_join(every, targets.select("source", "source_size", "target")).select("doc_id", "source", "size", "source_size", "target", "taken")
+    with_taken = _source_join(streams.where("size > 0"), taken, "first", how="left").select("doc_id", "source", "size", "key", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    every = with_taken.unionByName(streams.where("size = 0").select("doc_id", "source", "size", "key", F.lit(0).cast("long").alias("taken")))
+    return _source_join(every, targets.select("source", "source_size", "target")).select("doc_id", "source", "size", "key", "source_size", "target", "taken")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), block_words: int = 32) -> DataFrame:
     """docs with each row as often as the mix takes it: taken / size, rounded; rows without words go.
 
-    Rows that share a doc_id share their words' takes evenly.
+    A row with a null doc_id is taken like any other. Rows of a source that share doc_id (or have
+    none) and text share their takes evenly.
     """
-    takes = mixed(docs, weights, block_words).where("size > 0 AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("__times")).where("__times > 0")
-    return docs.join(takes, F.col("doc_id") == F.col("__id")).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    takes = _dealt(docs, weights, block_words).where("size > 0").groupBy(F.col("source").alias("__source"), F.col("key").alias("__id")).agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("__times")).where("__times > 0")
+    # rows without words have no take: were they joined, those without an id would all meet in one task
+    keyed = docs.where(F.btrim("text", F.lit(BLANKS)) != "").withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(takes, (F.col("__key") == F.col("__id")) & keyed["source"].eqNullSafe(takes["__source"])).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[F.col(f"`{c}`") for c in docs.columns])

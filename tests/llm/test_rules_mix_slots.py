@@ -99,6 +99,23 @@ def test_mix_meets_targets(spark, odd_docs, no_docs):
     assert all(copies[r.doc_id] == int(r.taken / r.size + 0.5) for r in out if r.size)
 
 
+def test_mix_takes_rows_without_an_id(spark):
+    rng = random.Random(17)
+    rows = [(None if i % 3 else i, make_text(rng, rng.randrange(1, 120)), rng.choice(["a", "b", None])) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (None, None, "a"), (None, " \t", "b")], "doc_id long, text string, source string")
+    size = {t: len(WORD.findall(t)) for _, t, _ in rows}
+    took = {(r.doc_id, r.source, r.size): r.taken for r in mixed(docs).collect()}
+    names = Counter((i, s, size[t]) for i, t, s in rows)
+    copies = Counter((r.doc_id, r.source, r.text) for r in mix(docs).collect())
+    plain = [(i, t, s) for i, t, s in rows if names[i, s, size[t]] == 1]
+    assert sum(i is None for i, _, _ in plain) > 20 and any(copies[i, s, t] for i, t, s in plain if i is None)
+    assert all(copies[i, s, t] == int(took[i, s, size[t]] / size[t] + 0.5) for i, t, s in plain)
+    words, want = Counter(), brute_targets({s: sum(size[t] for _, t, x in rows if x == s) for s in ("a", "b", None)})
+    for (_, s, t), n in copies.items():
+        words[s] += n * size[t]
+    assert all(abs(words[s] - want[s]) < 0.05 * want[s] for s in want)
+
+
 def test_shards(spark, odd_docs, no_docs):
     rng = random.Random(8)
     rows = [(i, make_text(rng, rng.randrange(300))) for i in range(3000)] + [(5, "repeated")] * 50 + [(None, None)] * 20
