@@ -2,11 +2,14 @@ import fnmatch
 import json
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from tagflow.llm.decontamination import contained_items, without_items
+from tagflow.llm.decontamination import Items, candidates, contained_items, without_items
 from tagflow.llm.tool_calls import CHAT_TOOLS, Tool, argument_error, chat_calls, depths, linked_calls
 from tagflow.llm.url_globs import Automaton, Rule, filter_urls
+from tagflow.llm.words import shingles, word_hashes
 from tests.llm.conftest import make_text
 from tests.llm.test_near import shingle_set
 
@@ -67,6 +70,20 @@ def test_items_equal_brute_force(spark, odd_docs, no_docs):
     assert contained_items(df, bench.limit(0)).count() == 0
 
 
+def test_short_items_in_long_documents_are_all_found():
+    rng = random.Random(31)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(5 + k % 8)) for k in range(3000)]
+    docs = []
+    for begin in range(0, 3000, 100):
+        parts = [f"{make_text(rng, rng.randrange(1, 40))} {t}" for t in texts[begin : begin + 100]]
+        docs += [" ".join(parts), "", None]
+    items = Items(list(range(3000)), pa.array(texts), 5, 48)
+    got = candidates(items, *shingles(*word_hashes(pa.array(docs)), 5))
+    assert got >= {(3 * (k // 100), k) for k in range(3000)}
+    assert not candidates(items, np.zeros(0, np.uint64), np.zeros(1, np.int64))
+    assert candidates(Items([7], pa.array([texts[0]]), 5, 48), *shingles(*word_hashes(pa.array([None, texts[0].upper(), texts[1]])), 5)) == {(1, 0)}
+
+
 TOOLS = {"add": Tool({"a": "integer", "b": "number"}, ("a",)), "free": Tool({}, (), True)}
 
 
