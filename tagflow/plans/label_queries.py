@@ -397,12 +397,20 @@ def channel_stats(spark, d):
     return stats.select(*[F.round(F.get(k, F.lit(c)), 6).alias(f"{k}_{c}") for k in ("mean", "std") for c in (0, 1)])
 
 
+MOST_LABELS = 1000  # a head has a column for each
+
+
 @query()
 def fit_head(spark, d):
-    """vec_id, label and the prediction of a head fitted on three quarters of the vectors."""
-    data = table(spark, d, "embeddings").where("label IS NOT NULL").select("vec_id", F.col("embedding").cast("array<double>").alias("features"), F.col("label").cast("string").alias("label"))
-    data = data.withColumn("split", F.when(F.col("vec_id") % 4 == 0, "val").otherwise("train"))
-    classes = sorted(r[0] for r in data.select("label").distinct().limit(1000).collect())
+    """vec_id, label and the prediction of a head fitted on three quarters of the labelled vectors.
+
+    Vectors without a label are scored too; their split is null. More than MOST_LABELS labels is an error.
+    """
+    data = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("features"), F.col("label").cast("string").alias("label"))
+    data = data.withColumn("split", F.when(F.col("label").isNull(), None).when(F.col("vec_id") % 4 == 0, "val").otherwise("train"))
+    classes = sorted(r[0] for r in data.where("label IS NOT NULL").select("label").distinct().limit(MOST_LABELS + 1).collect())
+    if len(classes) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
     head = S.fit_head(data, "label", classes, column="features", split="split")
     return S.score_single(data, head, classes, "vec_id").join(data.select("vec_id", "label", "split"), "vec_id").select("vec_id", "label", "split", "prediction", "confidence")
 

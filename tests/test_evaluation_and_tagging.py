@@ -163,6 +163,21 @@ def test_scoring_heads(spark):
     assert (s.prediction, s.confidence, s.probs) == ("a", 0.5, [0.5, 0.5]) and one(spark, R.sigmoid_predict(F.lit(0.0))).pred == 1
 
 
+def test_fit_head_scores_all_and_refuses_too_many_labels(spark, tmp_path):
+    from tagflow.plans.label_queries import fit_head
+
+    schema = "vec_id long, embedding array<float>, label int"
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    rows = [(i, [float(i % 2), 1.0 - i % 2], None if i >= 40 else i % 2) for i in range(50)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{few}/embeddings.parquet")
+    out = {r.vec_id: r for r in fit_head(spark, few).collect()}
+    assert set(out) == set(range(50)) and all(r.prediction == str(i % 2) for i, r in out.items())
+    assert all((r.label, r.split) == ((None, None) if i >= 40 else (str(i % 2), "train" if i % 4 else "val")) for i, r in out.items())
+    spark.createDataFrame([(i, [1.0], i) for i in range(1001)], schema).write.parquet(f"{many}/embeddings.parquet")
+    with pytest.raises(ValueError, match="more than 1000 labels"):
+        fit_head(spark, many)
+
+
 def test_intake_runs_once_per_name(spark, tmp_path):
     src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
     spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "name string, v int").write.parquet(src)
