@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tagflow.llm.shared import written
 from tagflow.llm.words import text_bytes
@@ -147,21 +148,29 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed: int =
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, rows_each: int = 2000, text_bytes_most: int = 12_288, epochs: int = 10) -> Model:
-    """A model from a bounded sample: of each label the rows_each documents least by hash among those with
-    may_learn, with whole texts of at most text_bytes_most bytes. The sample is trained on in one task.
+def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, rows_each: int = 2000, bytes_each: int = 2000 * 12_288, epochs: int = 10) -> Model:
+    """A model from a bounded sample: of each label the documents least by hash among those with may_learn,
+    whole texts of any length, until there are rows_each or the next would make more than bytes_each
+    bytes. The sample is trained on in one task.
 
     Labels other than 0 and 1, and null ones, are left out; of several labels of one document
-    the largest counts. Without labels the model gives 0.5, with one label only that label.
+    the largest counts, of several texts the shortest and least. Without labels the model gives 0.5,
+    with one label only that label. If a label has documents but each is longer than bytes_each, that is an error.
     """
     usable = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(may_learn).groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
     order = F.xxhash64("doc_id")
     picks = written(usable.where("label = 0").orderBy(order).limit(2 * rows_each).union(usable.where("label = 1").orderBy(order).limit(2 * rows_each)), "picks")
-    size = F.octet_length("text")
-    sample = written(
-        docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id").where(F.coalesce(size, F.lit(0)) <= text_bytes_most)
-        .groupBy("doc_id", "label").agg(F.min("text").alias("text")), "sample")  # at most 4 * rows_each rows
-    got = sample.where("label = 0").orderBy(order).limit(rows_each).union(sample.where("label = 1").orderBy(order).limit(rows_each))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    # lengths first, so that no more than the sample's texts are gathered; at most 4 * rows_each rows
+    lengths = written(docs.select("doc_id", size.alias("size")).join(F.broadcast(picks), "doc_id").groupBy("doc_id", "label").agg(F.min("size").alias("size")), "lengths")
+    by_label = W.partitionBy("label").orderBy(order, "doc_id").rowsBetween(W.unboundedPreceding, 0)
+    fitting = lengths.where(F.col("size") <= bytes_each).withColumn("n", F.count("*").over(by_label)).withColumn("bytes", F.sum("size").over(by_label))
+    chosen = written(fitting.where((F.col("n") <= rows_each) & (F.col("bytes") <= bytes_each)).select("doc_id", "label", "size"), "chosen")
+    labels_of = lambda df: {r.label for r in df.select("label").distinct().collect()}
+    if none := labels_of(lengths) - labels_of(chosen):
+        raise ValueError(f"no document of label {min(none)} fits a sample of {bytes_each} bytes")
+    texts = docs.select("doc_id", "text", size.alias("size")).join(F.broadcast(chosen), ["doc_id", "size"])
+    got = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in b.to_pylist()]

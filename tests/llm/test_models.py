@@ -109,6 +109,20 @@ def test_classifier_learns_and_scores_every_row(spark, odd_docs, no_docs):
     assert byte_cnn.keep_good(odd_docs, labels.limit(0), remainder(5) == 0).columns == odd_docs.columns
 
 
+def test_quality_learns_from_long_texts(spark):
+    rng = random.Random(23)
+    rows = [(i, (f"{make_text(rng, 3000)} " if i % 2 else "@@ ## !! $$ " * 1200), i % 2) for i in range(60)]
+    assert all(len(t.encode()) > 12_288 for _, t, _ in rows)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    kept = {r.doc_id for r in byte_cnn.keep_good(docs, labels, remainder(5) == 0, epochs=40).collect()}
+    assert kept == {r[0] for r in rows if r[2]}
+    few = byte_cnn.fit(docs, labels, F.lit(True), bytes_each=40_000, epochs=1)
+    assert few.constant is None
+    with pytest.raises(ValueError, match="label 0 fits"):
+        byte_cnn.fit(docs, labels, F.lit(True), bytes_each=12_288)
+
+
 def test_chunks_cover_the_whole_text():
     """A sign anywhere in a long text is seen, and the features equal a plain loop's."""
     import pyarrow as pa
