@@ -121,16 +121,23 @@ def linked_calls(calls: DataFrame, results: DataFrame, tools: dict[str, Tool]) -
 
 def chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(calls, results) of plain chats: each user turn is a call, which waits for the user turn before it; the
-    assistant turn that follows it is its result. A system turn before it is an argument.
-    Several texts of one turn and role: the least. Null turns and roles are left out."""
-    turns = conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL AND role IS NOT NULL")
+    assistant turns that follow it, up to the next user turn, are its result, and the system turns before it,
+    from the user turn before on, an argument: their texts in order, one line break between. What comes before and
+    after goes by turn, gaps or not; in one turn by role: system, user, assistant. Several texts of
+    one turn and role: the least. Left out, as they belong to no call: assistant turns before the first user turn,
+    system turns after the last, other roles (tool), null turns and roles."""
+    place = F.when(F.col("role") == "system", 0).when(F.col("role") == "user", 1).when(F.col("role") == "assistant", 2)
+    turns = conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL").where(place.isNotNull()).groupBy("conv_id", "turn", "role").agg(F.min("text").alias("text"))
     named = lambda turn: F.concat(F.lit("turn-"), turn.cast("string"))
-    users = turns.where("role = 'user'").groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
-    system = turns.where("role = 'system'").groupBy("conv_id", F.col("turn") + 1).agg(F.min("text").alias("system")).toDF("conv_id", "turn", "system")
+    before = W.partitionBy("conv_id").orderBy("turn", place).rowsBetween(W.unboundedPreceding, -1)
+    user = F.when(F.col("role") == "user", F.col("turn"))
+    # last: the user turn before; number: how many there are
+    linked = written(turns.withColumn("last", F.last(user, ignorenulls=True).over(before)).withColumn("number", F.count(user).over(before)), "turns")
+    lines = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("turn", "text"))))
+    joined = F.when(F.size(lines) > 0, F.array_join(F.transform(lines, lambda x: x["text"]), "\n"))
+    system = linked.where("role = 'system'").groupBy("conv_id", "number").agg(joined.alias("system"))
     arguments = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("prompt"), F.col("system"), F.col("turn")))
-    # the user turn before is two turns earlier, where an assistant turn lies between
-    earlier = users.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("turn").alias("last"))
-    calls = users.join(system, ["conv_id", "turn"], "left").join(earlier, ["conv_id", "turn"], "left").select(
+    calls = linked.where("role = 'user'").join(system, ["conv_id", "number"], "left").select(
         "conv_id", named(F.col("turn")).alias("call_id"), named(F.col("last")).alias("after"), "turn", F.lit("reply").alias("name"), arguments.alias("arguments"))
-    results = turns.where("role = 'assistant'").select("conv_id", named(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
-    return calls, results
+    results = linked.where("role = 'assistant' AND last IS NOT NULL").groupBy("conv_id", "last").agg(joined.alias("content"))
+    return calls, results.select("conv_id", named(F.col("last")).alias("call_id"), "content")

@@ -118,3 +118,16 @@ def test_plain_chats(spark):
     assert set(out) == {(1, "turn-1"), (1, "turn-3"), (2, "turn-0")} and all(r.error is None for r in out.values())
     assert json.loads(out[1, "turn-1"].json) == {"conversation": 1, "id": "turn-1", "name": "reply", "arguments": {"prompt": 'say "é"', "system": "be\nbrief", "turn": 1}, "result": "é"}
     assert [out[1, k].position for k in ("turn-1", "turn-3")] == [0, 1] and not out[1, "turn-3"].linked
+
+
+def test_chats_with_gaps_and_turns_in_a_row(spark):
+    turns = [
+        (1, 0, "assistant", "hello"), (1, 2, "system", "s1"), (1, 5, "system", "s2"), (1, 9, "user", "a"), (1, 14, "tool", "t"), (1, 15, "assistant", "x"), (1, 16, "assistant", "y"),
+        (1, 17, "user", "b"), (1, 30, "user", "c"), (1, 31, "system", "s3"), (1, 40, "assistant", "z"), (1, 41, "user", "d"), (1, 42, "system", "s4"),
+        (2, 0, "system", "s"), (2, 0, "user", "p"), (2, 0, "assistant", "q"), (2, 1, "user", "r"), (2, 1, "assistant", None)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = {(r.conv_id, r.call_id): (r.depth, r.position, r.error, json.loads(r.json)) for r in linked_calls(*chat_calls(df.repartition(3)), CHAT_TOOLS).collect()}
+    got = {k: (d, p, e, j["arguments"].get("system"), j["arguments"]["prompt"], j.get("result", "none")) for k, (d, p, e, j) in rows.items()}
+    assert got == {
+        (1, "turn-9"): (0, 0, None, "s1\ns2", "a", "x\ny"), (1, "turn-17"): (1, 1, None, None, "b", "none"), (1, "turn-30"): (2, 2, None, None, "c", "z"),
+        (1, "turn-41"): (3, 3, None, "s3", "d", "none"), (2, "turn-0"): (0, 0, None, "s", "p", "q"), (2, "turn-1"): (1, 1, None, None, "r", None)}
