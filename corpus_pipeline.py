@@ -15,7 +15,7 @@ from tagflow.llm.byte_cnn import keep_good
 from tagflow.llm.decontamination import without_items
 from tagflow.llm.prefix_join import keep_one
 from tagflow.llm.shared import table, written
-from tagflow.llm.slots import sharded
+from tagflow.llm.slots import MAP_CONF, sharded
 from tagflow.llm.source_mix import mix
 
 
@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each row goes: shard, place in it, virtual slot and the version of the slot map."""
-    return sharded(docs)
+    return sharded(docs, map_path=spark.conf.get(MAP_CONF, None))
 
 
 STAGES = [

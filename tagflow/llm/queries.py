@@ -15,7 +15,7 @@ from tagflow.llm.host_rules import judge
 from tagflow.llm.language_id import predict
 from tagflow.llm.prefix_join import jaccard_components
 from tagflow.llm.shared import table
-from tagflow.llm.slots import sharded
+from tagflow.llm.slots import MAP_CONF, sharded
 from tagflow.llm.source_mix import mixed
 from tagflow.llm.tool_calls import CHAT_TOOLS, chat_calls, linked_calls
 from tagflow.llm.url_globs import filter_urls
@@ -59,7 +59,7 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharded(table(spark, sf_dir, "documents"))
+    return sharded(table(spark, sf_dir, "documents"), map_path=spark.conf.get(MAP_CONF, None))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

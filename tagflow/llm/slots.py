@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -18,6 +19,7 @@ from tagflow.llm.shared import written
 
 SLOTS = 4096
 MAP_SCHEMA = "version int, slot int, shard int"
+MAP_CONF = "spark.tagflow.slot_map"  # where the query and the pipeline keep the map; unset: each run makes a first map
 
 
 def text_size(text: Column) -> Column:
@@ -72,19 +74,42 @@ def map_table(like: DataFrame, pairs: list[tuple[int, int]], version: int) -> Da
     return like.sparkSession.createDataFrame([(version, s, k) for s, k in pairs], MAP_SCHEMA)
 
 
-def sharded(docs: DataFrame, shards: int = 16, slots: int = SLOTS, current: list[tuple[int, int]] | None = None, version: int = 1) -> DataFrame:
+def stored_map(spark: SparkSession, path: str) -> tuple[int, list[tuple[int, int]]]:
+    """The latest version of the map stored at path, and its pairs; 0 and none if nothing is there."""
+    try:
+        maps = spark.read.schema(MAP_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, []
+    version = maps.agg(F.max("version")).first()[0] or 0
+    return version, sorted((r.slot, r.shard) for r in maps.where(F.col("version") == version).collect())
+
+
+def sharded(docs: DataFrame, shards: int = 16, slots: int = SLOTS, current: list[tuple[int, int]] | None = None, version: int = 1, map_path: str | None = None) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version.
 
     size: UTF-8 bytes of the text (null: none) plus 1. The shards have nearly equal bytes (law
     "bytes"), as near as whole slots allow. slot: the row's place in its shard, without gaps
     from 0, by virtual slot, then doc_id (null first), checksum and size. current: the map
-    of an earlier version, which is then edited, not made anew. Equal rows take neighbouring places.
+    of an earlier version, which is then edited, not made anew. map_path: a table of all versions of the map
+    (MAP_SCHEMA, all slots); its latest version counts instead of current and version and, where the edit moves a slot,
+    the edited map is added as the next version. One run at a time may use it. Equal rows take neighbouring places.
     Other columns are ignored; an empty table gives an empty result.
     """
+    if map_path:
+        stored, old = stored_map(docs.sparkSession, map_path)
+        if old and [s for s, _ in old] != list(range(slots)):
+            raise ValueError(f"the map at {map_path} is not one of {slots} slots")
+        current = old or None
     crc = text_crc(F.col("text"))
     records = written(docs.select("doc_id", text_size(F.col("text")).alias("size"), crc.alias("text_crc32")).withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("text_crc32"), slots)), "records")
     sizes = slot_bytes(records)
     pairs = first_map(sizes, shards, slots) if current is None else rebalanced(current, sizes, shards)
+    if map_path:
+        version = stored if current == sorted(pairs) else stored + 1
+        if version > stored:
+            map_table(records, pairs, version).coalesce(1).write.mode("append").parquet(map_path)
     where = written(map_table(records, pairs, version), "slot_map")
     counts = records.groupBy("virtual_slot").agg(F.count("*").alias("n"))
     before = W.partitionBy("shard").orderBy("virtual_slot").rowsBetween(W.unboundedPreceding, -1)

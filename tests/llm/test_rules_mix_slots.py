@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagflow.llm.host_rules import beta_prior, host_verdicts, judge
-from tagflow.llm.slots import first_map, rebalanced, sharded
+from tagflow.llm.slots import MAP_CONF, first_map, rebalanced, sharded, stored_map
 from tagflow.llm.source_mix import mix, mixed
 from tests.llm.conftest import make_text
 
@@ -147,3 +147,31 @@ def test_rebalancing_moves_few_slots_and_evens_bytes():
     assert {k for _, k in new} == set(range(9)) and max(load.values()) < 1.1 * sum(load.values()) / 9
     assert len(moved) < 512 / 6
     assert rebalanced(first_map(sizes, 9, 512), sizes, 9) == sorted(first_map(sizes, 9, 512))
+
+
+def test_a_second_run_edits_the_stored_map(spark, tmp_path):
+    from tagflow.llm.queries import op9_virtual_slots
+
+    rng = random.Random(4)
+    path, rows = str(tmp_path / "map"), [(i, make_text(rng, rng.randrange(300))) for i in range(1000)]
+    for name, n in (("first", 600), ("grown", 1000)):
+        spark.createDataFrame(rows[:n], "doc_id long, text string").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    spark.conf.set(MAP_CONF, path)
+    try:
+        one = op9_virtual_slots(spark, f"{tmp_path}/first").collect()
+        version, old = stored_map(spark, path)
+        assert version == 1 and len(old) == 4096 and {r.map_version for r in one} == {1} and all(dict(old)[r.virtual_slot] == r.shard for r in one)
+        two = op9_virtual_slots(spark, f"{tmp_path}/grown").collect()
+        version, new = stored_map(spark, path)
+        size = Counter()
+        for r in two:
+            size[r.virtual_slot] += r.size
+        assert version == 2 and new == rebalanced(old, size, 16) != old and {r.map_version for r in two} == {2}
+        assert all(dict(new)[r.virtual_slot] == r.shard for r in two) and len(two) == 1000
+        again = op9_virtual_slots(spark, f"{tmp_path}/grown").collect()
+        assert stored_map(spark, path)[1] == rebalanced(new, size, 16) and len(again) == 1000
+    finally:
+        spark.conf.unset(MAP_CONF)
+    assert {r.map_version for r in op9_virtual_slots(spark, f"{tmp_path}/grown").collect()} == {1}
+    with pytest.raises(ValueError, match="64 slots"):
+        sharded(spark.read.parquet(f"{tmp_path}/first/documents.parquet"), slots=64, map_path=path)
