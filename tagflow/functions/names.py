@@ -8,9 +8,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def clean_path(path: Column) -> Column:
+    """Without a slash at either end and without doubled ones."""
+    return F.btrim(F.replace(path, F.lit("//"), F.lit("/")), F.lit("/"))
+
+
 def path_parts(path: Column) -> Column:
     """Parts of a path; comparing the arrays orders as file listings do (a/b before a-b)."""
-    return F.split(F.btrim(F.replace(path, F.lit("//"), F.lit("/")), F.lit("/")), "/")
+    return F.split(clean_path(path), "/")
+
+
+def path_order(path: Column) -> Column:
+    """A text that orders paths as their parts do: the slash comes before every character of a name."""
+    return F.translate(clean_path(path), "/", "\1")
 
 
 def file_name(path: Column) -> Column:
@@ -19,12 +29,19 @@ def file_name(path: Column) -> Column:
 
 def stem(path: Column) -> Column:
     """File name without its last suffix; a name that begins with its only dot keeps it."""
-    return F.regexp_replace(file_name(path), r"(?<=.)\.[^.]+$", "")
+    file, last = file_name(path), F.substring_index(path, ".", -1)
+    return F.when(_has_suffix(file, last), F.left(file, F.length(file) - F.length(last) - 1)).otherwise(file)
 
 
 def ext(path: Column) -> Column:
     """Lower-case suffix without the dot, "" if there is none."""
-    return F.lower(F.regexp_extract(file_name(path), r"^.+\.([^.]+)$", 1))
+    file, last = file_name(path), F.substring_index(path, ".", -1)
+    return F.when(_has_suffix(file, last), F.lower(last)).otherwise(F.when(file.isNotNull(), ""))
+
+
+def _has_suffix(file: Column, last: Column) -> Column:
+    """Whether last, what follows a path's last dot, is a suffix of its file name: not empty, and not all of the name."""
+    return (last != "") & (F.length(file) > F.length(last) + 1)
 
 
 def is_true(value: Column) -> Column:

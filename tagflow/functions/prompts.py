@@ -1,4 +1,4 @@
-"""Prompts for tagging and describing, and lists of attributes."""
+"""Prompts for tagging and describing."""
 
 from __future__ import annotations
 
@@ -9,12 +9,6 @@ from pyspark.sql import functions as F
 
 from tagflow.functions.names import is_true
 
-# The attribute names of the tag table.
-CONSTRUCTION = ["strappy", "ankle-strap", "ankle-wrap", "sling-back", "t-bar", "cross-over", "platform", "lace-up", "zip-up", "slouch"]
-EMBELLISHMENT = [
-    "bead", "bow", "buckle", "chain", "crystal", "embroidery", "eyelet", "feather", "flower", "fringe", "fur", "hardware", "lace", "logo",
-    "mesh-insert", "patch", "pearl", "pom-pom", "ribbon", "sequin", "stripe", "stud", "tassel", "zipper"]
-
 
 def true_names(attrs: Sequence[str], columns: Mapping[str, Column]) -> Column:
     """Names of the attributes that are true, in the order of attrs."""

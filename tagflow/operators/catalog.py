@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tagflow.functions.names import content_hash, map_label
+from tagflow.functions.names import content_hash, map_label, path_order
 from tagflow.operators.filters import quality_gate
+from tagflow.operators.joins import join_same
+from tagflow.sources.scratch import written
 
-FIRST = ("parts", "path")  # order of paths: by parts, as file listings are
+
+def first_path() -> Column:
+    """The first path of a group, by parts, as file listings are."""
+    return F.min_by("path", path_order(F.col("path")))
 
 
 def duplicate_stems(catalog: DataFrame, category: str | None = None) -> DataFrame:
@@ -19,13 +24,15 @@ def duplicate_stems(catalog: DataFrame, category: str | None = None) -> DataFram
 
     Two copies in one subcategory count; files that lie directly under a category do not.
     """
-    own = catalog.where(F.col("subcategory").isNotNull() & (F.size("parts") > 2))
+    own = catalog.where("subcategory IS NOT NULL")
     if category is not None:
         own = own.where(F.col("category") == category)
-    return own.groupBy("category", "name").agg(
-        F.count("*").alias("occurrences"), F.count_distinct("subcategory").alias("distinct_subcats"),
-        F.transform(F.array_sort(F.collect_list(F.struct("parts", "path", "subcategory"))), lambda x: F.struct(x["subcategory"].alias("subcat"), x["path"].alias("path"))).alias("occ"),
-    ).where("occurrences > 1")
+    # what is sorted and counted is made of the groups that stay
+    several = own.groupBy("category", "name").agg(F.collect_list(F.struct(F.col("subcategory").alias("subcat"), "path")).alias("found")).where(F.size("found") > 1)
+    ordered = F.array_sort(F.transform("found", lambda x: F.struct(path_order(x["path"]).alias("k"), x.alias("x"))))
+    return several.select(
+        "category", "name", F.size("found").cast("long").alias("occurrences"), F.size(F.array_distinct("found.subcat")).cast("long").alias("distinct_subcats"),
+        F.transform(ordered, lambda x: x["x"]).alias("occ"))
 
 
 def duplicate_summary(dups: DataFrame) -> DataFrame:
@@ -49,7 +56,7 @@ def quarantine_plan(dups: DataFrame, root: str) -> DataFrame:
 
 def first_by_stem(catalog: DataFrame, label: str = "unknown") -> DataFrame:
     """name, path of the first image, Class (a placeholder) and n_paths."""
-    return catalog.groupBy("name").agg(F.min_by("path", F.struct(*FIRST)).alias("path"), F.count("*").alias("n_paths")).withColumn("Class", F.lit(label))
+    return catalog.groupBy("name").agg(first_path().alias("path"), F.count("*").alias("n_paths")).withColumn("Class", F.lit(label))
 
 
 def manifest_from_folders(catalog: DataFrame, overrides: Mapping[str, str] | None = None, allow: Sequence[str] | None = None) -> DataFrame:
@@ -57,27 +64,34 @@ def manifest_from_folders(catalog: DataFrame, overrides: Mapping[str, str] | Non
     own = catalog.where(F.col("category").isNotNull())
     if allow is not None:
         own = own.where(F.col("category").isin(*allow))
-    return own.withColumn("Class", map_label(F.col("category"), overrides or {})).groupBy("Class", "name").agg(F.min_by("path", F.struct(*FIRST)).alias("path"))
+    return own.withColumn("Class", map_label(F.col("category"), overrides or {})).groupBy("Class", "name").agg(first_path().alias("path"))
 
 
 def manifest_duplicates(catalog: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
     """name, Class, kept_path, skipped_path of the images that a manifest passes over."""
     own = catalog.where(F.col("category").isNotNull()).withColumn("Class", map_label(F.col("category"), overrides or {}))
-    kept = own.groupBy("Class", "name").agg(F.min_by("path", F.struct(*FIRST)).alias("kept_path"), F.count("*").alias("n")).where("n > 1").drop("n")
+    kept = own.groupBy("Class", "name").agg(first_path().alias("kept_path"), F.count("*").alias("n")).where("n > 1").drop("n")
     return own.join(kept, ["Class", "name"]).where("path <> kept_path").select("name", "Class", "kept_path", F.col("path").alias("skipped_path"))
 
 
 def number_per_label(df: DataFrame, pad: int = 5) -> DataFrame:
-    """new_name <label>_<number>: numbered in (folder, file) order within the label.
+    """new_name <label>_<number>: numbered in (folder, file) order within the label; null folders and files come first.
 
-    Only a label's folders are ranked together; files are ranked within their folder.
+    Every row stays: a null folder is one of the folders, rows with a null label get a null name. Rows are
+    sorted in ranges of (label, folder, file), so neither a large label nor a large folder is one task's
+    work; a row's number is its place in its range and the label's rows in the ranges before.
     """
-    before = W.partitionBy("label").orderBy("folder").rowsBetween(W.unboundedPreceding, -1)
-    starts = df.groupBy("label", "folder").agg(F.count("*").alias("n")).withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    place = F.row_number().over(W.partitionBy("label", "folder").orderBy("file"))
-    number = (F.col("start") + F.col("place")).cast("int")
-    return df.withColumn("place", place).join(starts, ["label", "folder"]).withColumn(
-        "new_name", F.concat(F.replace("label", F.lit(" "), F.lit("_")), F.lit("_"), F.format_string(f"%0{pad}d", number))).drop("place", "start")
+    order = ["label", "folder", "file"]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the place in a range: what the id counts up from the range's first row
+    sorted_ = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = written(sorted_.withColumn("__range", F.spark_partition_id()).withColumn("__place", F.monotonically_increasing_id()), "placed")
+    before = W.partitionBy("label").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    starts = placed.groupBy("label", "__range").agg(F.count("*").alias("n"), F.min("__place").alias("__low"))
+    starts = starts.withColumn("__start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    number = (F.col("__start") + F.col("__place") - F.col("__low") + 1).cast("int")
+    return join_same(placed, starts, ["label", "__range"]).withColumn(
+        "new_name", F.concat(F.replace("label", F.lit(" "), F.lit("_")), F.lit("_"), F.format_string(f"%0{pad}d", number))).drop("__place", "__start", "__low", "__range")
 
 
 def min_class_size(df: DataFrame, n: int, label: str = "label") -> DataFrame:

@@ -127,8 +127,9 @@ def threshold_sweep(scores: DataFrame, thresholds: Sequence[float] = THRESHOLDS)
     Scores fall into buckets between thresholds; counts at or above each threshold are sums over buckets. One
     pass over the rows, whatever the number of thresholds. scores: attr, gt, score.
     """
-    bucket = F.size(F.filter(F.array(*[F.lit(t) for t in thresholds]), lambda t: F.col("score") >= t))
-    hist = scores.groupBy("attr", bucket.alias("b")).agg(F.count_if(F.col("gt") == 1).alias("pos"), F.count_if(F.col("gt") != 1).alias("neg"))
+    # a sum of comparisons: unlike a lambda over the thresholds it is compiled
+    bucket = sum(((F.col("score") >= t).cast("int") for t in thresholds), F.lit(0))
+    hist = scores.groupBy("attr", F.coalesce(bucket, F.lit(0)).alias("b")).agg(F.count_if(F.col("gt") == 1).alias("pos"), F.count_if(F.col("gt") != 1).alias("neg"))
     # a bucket b counts at the first b thresholds
     at = F.posexplode(F.array(*[F.lit(t) for t in thresholds]))
     total = hist.groupBy("attr").agg(F.sum("pos").alias("all_pos"))

@@ -7,10 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.functions.names import clean_raw_labels
+from tagflow.functions.names import clean_raw_labels, path_order
 from tagflow.sources.catalog import EXTENSIONS
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join that takes a null key for equal to a null key; the columns of left, then the other ones of right."""
+    other = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    return left.join(other, on, how).drop(*[f"__right_{k}" for k in keys])
+
+
 def join_gt_pred(gt: DataFrame, pred: DataFrame) -> DataFrame:
     return gt.join(pred, "name")
 
@@ -26,7 +33,7 @@ def pending(catalog: DataFrame, done: DataFrame, retry_failed: bool = False, fai
     """Images not done yet, one a name (the first path). With retry_failed, done rows where failed holds do not count."""
     if retry_failed and failed is not None:
         done = done.where(~F.coalesce(failed, F.lit(False)))
-    first = catalog.groupBy("name").agg(F.min_by(F.struct("*"), F.struct(F.split("path", "/"), "path")).alias("r")).select("r.*") if "path" in catalog.columns else catalog.dropDuplicates(["name"])
+    first = catalog.groupBy("name").agg(F.min_by(F.struct("*"), path_order(F.col("path"))).alias("r")).select("r.*") if "path" in catalog.columns else catalog.dropDuplicates(["name"])
     return first.join(done.select("name"), "name", "left_anti")
 
 
@@ -45,8 +52,8 @@ def restrict_to_present(labels: DataFrame, catalog: DataFrame, must_exist: bool
 def best_paths(catalog: DataFrame) -> DataFrame:
     """name, path: a file at the root by the order of extensions, else the first nested one."""
     rank = F.array_position(F.array(*[F.lit(e) for e in EXTENSIONS]), F.col("ext"))
-    nested = F.size("parts") > 1
-    order = F.struct(nested, F.when(nested, F.lit(0)).otherwise(rank), F.col("parts"), F.col("path"))
+    nested = F.col("category").isNotNull()
+    order = F.struct(nested, F.when(nested, F.lit(0)).otherwise(rank), path_order(F.col("path")))
     return catalog.groupBy("name").agg(F.min_by("path", order).alias("path"))
 
 
@@ -117,8 +124,12 @@ def error_cases(gt: DataFrame, pred: DataFrame, attr: str, kind: str) -> DataFra
 
     gt and pred: name, labels (arrays).
     """
-    joined = gt.select("name", F.col("labels").alias("g")).join(pred.select("name", F.col("labels").alias("p")), "name")
+    return badged(gt.select("name", F.col("labels").alias("g")).join(pred.select("name", F.col("labels").alias("p")), "name"), attr, kind)
+
+
+def badged(pairs: DataFrame, attr: str, kind: str) -> DataFrame:
+    """error_cases of rows that hold both lists: name, g (true labels), p (predicted ones)."""
     g, p = F.array_contains("g", attr), F.array_contains("p", attr)
     badge = F.when(g & p, "TP").when(p, "FP").when(g, "FN").otherwise("TN")
     wanted = {"fp": ["FP"], "fn": ["FN"], "tp": ["TP"], "tn": ["TN"], "pred": ["TP", "FP"], "both": ["FP", "FN"], "all": ["TP", "FP", "FN", "TN"]}[kind]
-    return joined.select("name", badge.alias("badge"), F.array_join("g", "|").alias("gt_labels")).where(F.col("badge").isin(*wanted))
+    return pairs.select("name", badge.alias("badge"), F.array_join("g", "|").alias("gt_labels")).where(F.col("badge").isin(*wanted))

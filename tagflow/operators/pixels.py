@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,11 +12,13 @@ from pyspark.sql import functions as F
 
 #: Channel means and deviations that the CLIP profile uses instead of channel_stats.
 CLIP_STATS = ([0.48145466, 0.4578275, 0.40821073], [0.26862954, 0.26130258, 0.27577711])
+ROWS = 512  # of an image that are resized at a time
 PIXEL_SCHEMA = "name string, height int, width int, pixels binary, sums array<double>, squares array<double>"
 
 
+@functools.lru_cache(64)
 def _weights(source: int, target: int) -> np.ndarray:
-    """(target, source) weights of one axis: shares of area when shrinking, linear when enlarging."""
+    """(target, source) float32 weights of one axis: shares of area when shrinking, linear when enlarging."""
     out = np.zeros((target, source))
     scale = source / target
     for i in range(target):
@@ -28,7 +31,7 @@ def _weights(source: int, target: int) -> np.ndarray:
             j = int(x)
             out[i, j] += 1 - (x - j)
             out[i, min(j + 1, source - 1)] += x - j
-    return out
+    return out.astype(np.float32)
 
 
 def square_pixels(data: bytes, height: int, width: int, channels: int, size: int) -> np.ndarray:
@@ -36,11 +39,16 @@ def square_pixels(data: bytes, height: int, width: int, channels: int, size: int
     img = np.frombuffer(data, np.uint8).reshape(height, width, channels)
     img = np.repeat(img, 3, 2) if channels == 1 else img[:, :, 2::-1]
     side = max(height, width)
-    square = np.full((side, side, 3), 255, np.uint8)
     top, left = (side - height) // 2, (side - width) // 2
-    square[top : top + height, left : left + width] = img
     w = _weights(side, size)
-    return np.einsum("ij,jkc,lk->ilc", w, square.astype(np.float64), w, optimize=True).astype(np.float32)
+    # the padding is never made: white is added with the weight that the picture leaves
+    down, across = w[:, top : top + height], w[:, left : left + width]
+    out = np.zeros((size, size, 3), np.float32)
+    for begin in range(0, height, ROWS):
+        rows = img[begin : begin + ROWS].astype(np.float32)
+        narrow = np.stack([rows[:, :, c] @ across.T for c in range(3)], 2)
+        out += np.tensordot(down[:, begin : begin + ROWS], narrow, 1)
+    return out + 255 * (1 - np.outer(down.sum(1), across.sum(1)))[:, :, None].astype(np.float32)
 
 
 def prepare_pixels(images: DataFrame, size: int = 224) -> DataFrame:

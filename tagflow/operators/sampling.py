@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tagflow.functions.names import md5_order, tokens
+from tagflow.operators.joins import join_same
 
 LANES = 256  # a rank is counted over the first two digits of the hash, then within them
 
@@ -21,12 +22,12 @@ def cap_rows(df: DataFrame, n: int, seed: int = 42, key: str = "name") -> DataFr
 
 
 def _ranked(df: DataFrame, group: list[str], seed: int, key: str) -> DataFrame:
-    """df with rank (from 1) by md5 within group; no task gets a whole group."""
-    keyed = df.withColumn("__h", md5_order(seed, F.col(key))).withColumn("__lane", F.substring("__h", 1, 2))
+    """df with rank (from 1) by md5 within group; no task gets a whole group. Null keys and a null group rank like others."""
+    keyed = df.withColumn("__h", F.coalesce(md5_order(seed, F.col(key)), F.lit(""))).withColumn("__lane", F.substring("__h", 1, 2))
     before = W.partitionBy(*group).orderBy("__lane").rowsBetween(W.unboundedPreceding, -1)
     starts = keyed.groupBy(*group, "__lane").agg(F.count("*").alias("__n")).withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     place = F.row_number().over(W.partitionBy(*group, "__lane").orderBy("__h", key))
-    return keyed.withColumn("__place", place).join(starts, [*group, "__lane"]).withColumn("rank", F.col("__start") + F.col("__place")).drop("__h", "__lane", "__place", "__start")
+    return join_same(keyed.withColumn("__place", place), starts, [*group, "__lane"]).withColumn("rank", F.col("__start") + F.col("__place")).drop("__h", "__lane", "__place", "__start")
 
 
 def random_split(df: DataFrame, frac: float = 0.2, seed: int = 42, key: str = "name") -> DataFrame:
@@ -48,10 +49,10 @@ def stratified_quota(counts: DataFrame, frac: float) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, label: str, frac: float = 0.2, seed: int = 42, key: str = "name") -> DataFrame:
-    """Column split keeping class shares: val is ceil(frac * N) rows in all."""
+    """Column split keeping class shares: val is ceil(frac * N) rows in all. Every row stays: null labels are a class of their own."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
     quota = stratified_quota(counts, frac).withColumnRenamed("label", label)
-    return _ranked(df, [label], seed, key).join(quota, label).withColumn("split", F.when(F.col("rank") <= F.col("n_val"), "val").otherwise("train")).drop("rank", "n_val")
+    return join_same(_ranked(df, [label], seed, key), quota, [label]).withColumn("split", F.when(F.col("rank") <= F.col("n_val"), "val").otherwise("train")).drop("rank", "n_val")
 
 
 def select_split(df: DataFrame, split: str) -> DataFrame:

@@ -134,8 +134,8 @@ def min_class_size(spark, d):
 @query("""WITH a AS (SELECT * FROM events WHERE event_type <> 'view'), f AS (SELECT user_id, arg_min(event_type, event_id) AS event_type, min(event_id) AS event_id FROM a GROUP BY user_id)
 SELECT * FROM (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rank FROM f) WHERE rank <= 5""")
 def quota_per_group(spark, d):
-    allowed = [r[0] for r in table(spark, d, "events").select("event_type").distinct().collect() if r[0] != "view"]
-    return C.quota_per_group(table(spark, d, "events").select("user_id", "event_type", "event_id"), "event_type", "user_id", 5, "event_id", allowed).select("user_id", "event_type", "event_id", F.col("rank").cast("long").alias("rank"))
+    events = table(spark, d, "events").where("event_type <> 'view'").select("user_id", "event_type", "event_id")
+    return C.quota_per_group(events, "event_type", "user_id", 5, "event_id").select("user_id", "event_type", "event_id", F.col("rank").cast("long").alias("rank"))
 
 
 @query("SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)")

@@ -169,8 +169,9 @@ SELECT name, CASE WHEN g = 1 AND p = 1 THEN 'TP' WHEN p = 1 THEN 'FP' WHEN g = 1
 
 @query(f"WITH cases AS ({CASES}) SELECT * FROM cases WHERE badge IN ('FP', 'FN')")
 def error_cases(spark, d):
-    lists = lambda c: scores_long(spark, d).groupBy("name").agg(F.array_sort(F.collect_list(F.when(F.col(c) == 1, F.col("attr")))).alias("labels"))
-    return J.error_cases(lists("gt"), lists("pred"), "big", "both")
+    # one grouping gives both lists
+    lists = [F.array_sort(F.collect_list(F.when(F.col(c) == 1, F.col("attr")))).alias(a) for c, a in (("gt", "g"), ("pred", "p"))]
+    return J.badged(scores_long(spark, d).groupBy("name").agg(*lists), "big", "both")
 
 
 # ---- terms

@@ -388,11 +388,17 @@ def zero_shot(spark, d):
     return S.zero_shot(vectors(spark, d), {"first": (axis[0], axis[1]), "second": (axis[2], axis[3])}, 20.0, 0.5, "vec_id", "features")
 
 
-@query("""WITH s AS (SELECT [(v[1] + v[4]) / 2, (v[2] + v[5]) / 2] AS m, [(v[1] * v[1] + v[4] * v[4]) / 2, (v[2] * v[2] + v[5] * v[5]) / 2] AS q FROM (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings))
+def _halves(e: str) -> str:
+    return f"[list_avg(list_transform(list_filter(v, lambda x, i: i % 2 = 1), lambda x: {e})), list_avg(list_transform(list_filter(v, lambda x, i: i % 2 = 0), lambda x: {e}))]"
+
+
+@query(f"""WITH s AS (SELECT {_halves("x")} AS m, {_halves("x * x")} AS q FROM (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings))
 SELECT round(avg(m[1]), 6) AS mean_0, round(avg(m[2]), 6) AS mean_1, round(sqrt(avg(q[1]) - avg(m[1]) * avg(m[1])), 6) AS std_0, round(sqrt(avg(q[2]) - avg(m[2]) * avg(m[2])), 6) AS std_1 FROM s""")
 def channel_stats(spark, d):
-    v = lambda i: F.get("features", F.lit(i))
-    means = vectors(spark, d).select(F.array(*[(v(c) + v(c + 3)) / 2 for c in (0, 1)]).alias("sums"), F.array(*[(v(c) * v(c) + v(c + 3) * v(c + 3)) / 2 for c in (0, 1)]).alias("squares"))
+    """Each vector as an image of two channels, whose values alternate."""
+    own = lambda c: F.filter("features", lambda x, i: i % 2 == c)
+    mean = lambda c, f: F.aggregate(own(c), F.lit(0.0), lambda a, x: a + f(x)) / F.size(own(c))
+    means = vectors(spark, d).select(F.array(*[mean(c, lambda x: x) for c in (0, 1)]).alias("sums"), F.array(*[mean(c, lambda x: x * x) for c in (0, 1)]).alias("squares"))
     stats = X.channel_stats(means, 2)
     return stats.select(*[F.round(F.get(k, F.lit(c)), 6).alias(f"{k}_{c}") for k in ("mean", "std") for c in (0, 1)])
 
@@ -415,6 +421,16 @@ def fit_head(spark, d):
     return S.score_single(data, head, classes, "vec_id").join(data.select("vec_id", "label", "split"), "vec_id").select("vec_id", "label", "split", "prediction", "confidence")
 
 
+@query("SELECT CASE WHEN vec_id % 4 = 0 THEN 'val' ELSE 'train' END AS split, count(*) AS n, true AS accurate FROM embeddings GROUP BY ALL")
+def fit_head_separable(spark, d):
+    """Whether a head learns labels that a plane parts: of each split the rows, and whether 4 of 5 are predicted (a guess: 1 of 2)."""
+    side = F.when(F.get("features", F.lit(0)) > F.get("features", F.lit(1)), "first").otherwise("second")
+    data = vectors(spark, d).withColumn("label", side).withColumn("split", F.when(F.col("vec_id") % 4 == 0, "val").otherwise("train"))
+    head = S.fit_head(data, "label", ["first", "second"], column="features", split="split")
+    scored = S.score_single(data, head, head.classes, "vec_id").join(data.select("vec_id", "label", "split"), "vec_id")
+    return scored.groupBy("split").agg(F.count("*").alias("n"), (F.avg((F.col("prediction") == F.col("label")).cast("double")) >= 0.8).alias("accurate"))
+
+
 @query("SELECT DISTINCT CAST(doc_id AS VARCHAR) AS name, lang FROM documents")
 def incremental_intake(spark, d):
     """The documents as a stream, each name tagged once; a second run finds nothing new."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.functions.names import ext, path_parts, stem
@@ -22,16 +22,25 @@ def catalog_from_paths(df: DataFrame, path_col: str = "path", root: str = "", ex
     category is the first folder below root, subcategory the second; null where a file lies
     higher. Paths with a folder named in skip_dirs are left out.
     """
-    rel = F.regexp_replace(F.col(path_col), f"^(file:/+)?{root.strip('/') and '/?' + root.strip('/')}/*", "") if root else F.col(path_col)
-    named = df.withColumn("rel_path", rel).withColumn("parts", path_parts(F.col("rel_path")))
-    folders = F.slice("parts", 1, F.greatest(F.size("parts") - 1, F.lit(0)))
+    path = F.col(path_col)
+    rel = _below(path, root.strip("/")) if root.strip("/") else path
+    made = {"rel_path": rel, "parts": path_parts(rel), "name": stem(path), "ext": ext(path)}
+    # made by a generator of one row: else the optimiser repeats these expressions wherever a filter or a key uses them
+    row = F.inline(F.array(F.struct(*[e.alias(c) for c, e in made.items()])))
+    found = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in made], row)
     level = lambda k: F.when(F.size("parts") > k, F.get("parts", F.lit(k - 1)))
-    found = named.withColumns({"name": stem(F.col(path_col)), "ext": ext(F.col(path_col)), "category": level(1), "subcategory": level(2)})
-    if skip_dirs:
-        found = found.where(~F.arrays_overlap(folders, F.array(*[F.lit(x) for x in skip_dirs])) | (F.size(folders) == 0))
+    found = found.withColumns({"category": level(1), "subcategory": level(2)})
+    for x in skip_dirs:
+        found = found.where(~F.contains(F.concat(F.lit("/"), "rel_path"), F.lit(f"/{x}/")))
     return filter_extensions(found, exts)
 
 
+def _below(path: Column, root: str) -> Column:
+    """path without its scheme file: and root; a path that is not below root stays as it is."""
+    bare = F.ltrim(F.when(F.startswith(path, F.lit("file:")), F.substr(path, F.lit(6))).otherwise(path), F.lit("/"))
+    return F.when(F.startswith(bare, F.lit(f"{root}/")), F.ltrim(F.substr(bare, F.lit(len(root) + 1)), F.lit("/"))).otherwise(path)
+
+
 def image_catalog(spark: SparkSession, root: str, exts: Sequence[str] = EXTENSIONS, recursive: bool = True, skip_dirs: Sequence[str] = ("infer",)) -> DataFrame:
     """The images under root. Contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root).select("path", "length", "modificationTime")

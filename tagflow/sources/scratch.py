@@ -1,13 +1,32 @@
-"""Where intermediate tables go."""
+"""Tables kept between the steps of an operator."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where it is unset."""
+    """The folder in spark.checkpoint.dir, which all executors share.
+
+    Where it is unset, a temporary folder, but only if the driver is the only executor: on a cluster
+    each executor would write to a disk of its own, so there it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
-    return found if found else "file://" + tempfile.mkdtemp(prefix="tagflow-")
+    if not found:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="tagflow-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tagflow/{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

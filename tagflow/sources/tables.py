@@ -39,8 +39,9 @@ def alias_pairs(taxonomy: dict[str, Sequence[str] | None]) -> dict[str, str]:
 
 
 def alias_table(spark: SparkSession, yaml_path: str) -> DataFrame:
-    with open(yaml_path, encoding="utf-8") as f:
-        pairs = alias_pairs(yaml.safe_load(f))
+    """alias, canonical of a taxonomy in YAML, at any path that Spark reads."""
+    text = "\n".join(r.value for r in spark.read.text(yaml_path, wholetext=True).collect())
+    pairs = alias_pairs(yaml.safe_load(text))
     return spark.createDataFrame(sorted(pairs.items()), "alias string, canonical string")
 
 

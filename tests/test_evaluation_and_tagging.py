@@ -178,6 +178,28 @@ def test_fit_head_scores_all_and_refuses_too_many_labels(spark, tmp_path):
         fit_head(spark, many)
 
 
+def test_splits_keep_rows_with_null_labels_and_names(spark):
+    rows = [(f"n{i}" if i % 11 else None, "a" if i % 3 else None) for i in range(50)]
+    df = spark.createDataFrame(rows, "name string, label string")
+    out = S.stratified_split(df, "label").collect()
+    assert sorted(((r.name, r.label) for r in out), key=repr) == sorted(rows, key=repr)
+    assert sum(r.split == "val" for r in out) == 10 and sum(r.split == "val" for r in out if r.label is None) in (3, 4)
+    assert sum(r.split == "val" for r in S.random_split(df).collect()) == 10 and S.random_split(df).count() == 50
+
+
+def test_scratch_on_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tagflow.sources.scratch import shared_dir
+
+    session = lambda **c: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: c.get(k.split(".")[1], d), set=lambda k, v: None))
+    for master in ("local-cluster[2,1,1024]", "spark://h:7077", "yarn"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session(master=master))
+        assert shared_dir(session(master=master, checkpoint="s3a://b/c")) == "s3a://b/c"
+    assert shared_dir(session(master="local[2]")).startswith("file:/")
+
+
 def test_intake_runs_once_per_name(spark, tmp_path):
     src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
     spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "name string, v int").write.parquet(src)

@@ -96,6 +96,37 @@ def test_numbering_quota_and_curation(spark):
     assert C.dedup_by_content(C.dedup_by_content(assets)).count() == C.dedup_by_content(assets).count() == 4
 
 
+def test_numbering_keeps_null_folders_and_labels(spark):
+    rows = [("a", None, "2"), ("a", None, "1"), ("a", "b", "0"), ("a", "b", None), (None, "b", "1"), (None, None, "1"), ("z z", "f", "x"), ("a", "b", "0")]
+    out = C.number_per_label(spark.createDataFrame(rows, "label string, folder string, file string"), 2).collect()
+    assert sorted(((r.label, r.folder, r.file) for r in out), key=repr) == sorted(rows, key=repr)
+    got = sorted((r.new_name, r.folder, r.file) for r in out if r.label == "a")
+    assert got == [("a_01", None, "1"), ("a_02", None, "2"), ("a_03", "b", None), ("a_04", "b", "0"), ("a_05", "b", "0")]
+    assert [r.new_name for r in out if r.label is None] == [None, None] and [r.new_name for r in out if r.label == "z z"] == ["z_z_01"]
+    assert C.number_per_label(spark.createDataFrame([], "label string, folder string, file string")).count() == 0
+
+
+def test_numbering_splits_a_large_folder(spark):
+    rows = [("a", "f", f"{i:05d}") for i in range(3000)] + [("b", "f", f"{i:05d}") for i in range(10)]
+    df = spark.createDataFrame(rows, "label string, folder string, file string").repartition(7)
+    out = C.number_per_label(df)
+    assert sorted((r.label, r.file, r.new_name) for r in out.collect()) == [(a, f, f"{a}_{int(f) + 1:05d}") for a, _, f in rows]
+
+
+@pytest.mark.parametrize("height,width,channels,size", [(7, 13, 3, 5), (1100, 30, 1, 16), (3, 2, 4, 8), (40, 40, 3, 40)])
+def test_pixels_equal_a_plain_resize(height, width, channels, size):
+    import numpy as np
+
+    data = np.random.default_rng(1).integers(0, 256, (height, width, channels), np.uint8)
+    got = X.square_pixels(data.tobytes(), height, width, channels, size)
+    side = max(height, width)
+    square = np.full((side, side, 3), 255.0)
+    top, left = (side - height) // 2, (side - width) // 2
+    square[top : top + height, left : left + width] = np.repeat(data, 3, 2) if channels == 1 else data[:, :, 2::-1]
+    w = X._weights(side, size).astype(float)
+    assert got.dtype == np.float32 and np.abs(got - np.einsum("ij,jkc,lk->ilc", w, square, w)).max() < 0.01
+
+
 def png(width, height, rgb):
     def chunk(kind, data):
         return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
