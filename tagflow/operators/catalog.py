@@ -10,8 +10,7 @@ from pyspark.sql import Window as W
 
 from tagflow.functions.names import content_hash, map_label, path_order
 from tagflow.operators.filters import quality_gate
-from tagflow.operators.joins import join_same
-from tagflow.sources.scratch import written
+from tagflow.operators.ranking import place_in
 
 
 def first_path() -> Column:
@@ -77,21 +76,12 @@ def manifest_duplicates(catalog: DataFrame, overrides: Mapping[str, str] | None
 def number_per_label(df: DataFrame, pad: int = 5) -> DataFrame:
     """new_name <label>_<number>: numbered in (folder, file) order within the label; null folders and files come first.
 
-    Every row stays: a null folder is one of the folders, rows with a null label get a null name. Rows are
-    sorted in ranges of (label, folder, file), so neither a large label nor a large folder is one task's
-    work; a row's number is its place in its range and the label's rows in the ranges before.
+    Every row stays: a null folder is one of the folders, rows with a null label get a null name. Neither a
+    large label nor a large folder is one task's work.
     """
-    order = ["label", "folder", "file"]
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the place in a range: what the id counts up from the range's first row
-    sorted_ = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    placed = written(sorted_.withColumn("__range", F.spark_partition_id()).withColumn("__place", F.monotonically_increasing_id()), "placed")
-    before = W.partitionBy("label").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
-    starts = placed.groupBy("label", "__range").agg(F.count("*").alias("n"), F.min("__place").alias("__low"))
-    starts = starts.withColumn("__start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    number = (F.col("__start") + F.col("__place") - F.col("__low") + 1).cast("int")
-    return join_same(placed, starts, ["label", "__range"]).withColumn(
-        "new_name", F.concat(F.replace("label", F.lit(" "), F.lit("_")), F.lit("_"), F.format_string(f"%0{pad}d", number))).drop("__place", "__start", "__low", "__range")
+    number = F.format_string(f"%0{pad}d", (F.col("__place") + 1).cast("int"))
+    name = F.concat(F.replace("label", F.lit(" "), F.lit("_")), F.lit("_"), number)
+    return place_in(df, ["label"], ["folder", "file"], "__place").withColumn("new_name", name).drop("__place")
 
 
 def min_class_size(df: DataFrame, n: int, label: str = "label") -> DataFrame:

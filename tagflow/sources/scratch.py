@@ -25,8 +25,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
+    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors.
+
+    Compressed by zstd, whose buffers are in the heap; the buffers of the default codec are outside of it and linger.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tagflow/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes what written() has written. Nothing that was made of it may be computed any more."""
+    for df in tables:
+        spark = df.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(df._written_path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place.getParent(), True)
