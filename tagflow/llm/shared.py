@@ -2,32 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagflow.sources.scratch import discard, shared_dir, written
+
+__all__ = ["components", "discard", "shared_dir", "table", "text_batches", "written"]
+
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tagflow-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
+def text_batches(docs: DataFrame) -> DataFrame:
+    """docs, whose session from now on makes Arrow batches of a few MB: rows of texts differ by orders of magnitude in size.
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tagflow/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    A smaller limit that the session has already stays.
+    """
+    conf = docs.sparkSession.conf
+    if int(conf.get(ARROW_BYTES).rstrip("b")) > BATCH_BYTES:
+        conf.set(ARROW_BYTES, BATCH_BYTES)
+    return docs
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -35,28 +33,34 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps until the edges stop changing; the
     number of steps grows with the logarithm of the longest chain. Each step is written
-    to the shared folder. Nothing but two counts comes to the driver. Nodes without a
-    link do not appear. Nulls are left out.
+    to the shared folder, as is the result. Nothing but two counts comes to the driver. Nodes
+    without a link do not appear. Nulls are left out.
     """
     both = links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     edges = written(both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     for _ in range(rounds):
+        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before or not state[0]:
+            break
+        before = state
         two_way = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = two_way.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = two_way.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        # the least neighbours are written, so that what joins them is dealt by the join alone and a hub's edges can be split
+        least = written(two_way.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = written(two_way.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (
             large.join(low, "u")
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct()
         )
-        edges = written(small, "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+        after = written(small, "edges")
+        discard(edges, least, large, low)
+        edges = after
     else:
         raise RuntimeError(f"components: not settled after {rounds} rounds")
-    return edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").union(
-        edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component")))
+    out = written(
+        edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
+        .union(edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))), "components")
+    discard(edges)
+    return out

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-STEP = 1 << 20  # bytes hashed at a time: bounds the memory for long texts
+STEP = 1 << 18  # bytes hashed at a time: bounds the memory for long texts
 _ODD = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -68,7 +68,7 @@ def _hash_step(raw: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndar
     first[cut] = inside[cut]
     last[cut - 1] = inside[cut - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _powers(1 << max(21, (n + 1).bit_length()))
+    up, down = _powers(1 << max(19, (n + 1).bit_length()))
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_CODE[raw] * up[:n], out=total[1:])
     return mix((total[end] - total[start]) * down[start]), start

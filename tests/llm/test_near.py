@@ -45,16 +45,19 @@ def family(rng, start, n, length, edits):
     return out
 
 
-@pytest.mark.parametrize("few,block", [(2, 3), (16, 128)])
+@pytest.mark.parametrize("few,block", [(1, 2000), (2, 100_000), (16, 4 << 20)])
 def test_components_equal_brute_force(spark, few, block):
     rng = random.Random(few)
     rows = family(rng, 100, 25, 80, 5) + family(rng, 200, 12, 30, 2) + family(rng, 300, 6, 200, 12)
     passage = make_text(rng, 60)
     rows += [(400 + i, passage + " " + make_text(rng, 60)) for i in range(20)]  # share much, but too little
     rows += [(500 + i, make_text(rng, 50)) for i in range(20)] + [(600, rows[3][1]), (601, rows[3][1])]
+    stock = make_text(rng, 70).split()  # nine tenths of the text are the same in many, and nearly all of them unlinked
+    rows += [(700 + i, " ".join(f"own{i}x{k}" for k in range(12)) + " " + " ".join(stock)) for i in range(60)]
+    rows += family(rng, 800, 50, 60, 6)[1:]  # near copies without their original
     # same prefix and size, different sets: whether grouped or not, the links are the same
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert got(jaccard_components(df, few=few, block=block, sketch_bits=16)) == brute(rows)
+    assert got(jaccard_components(df, few=few, block_bytes=block, sketch_bits=16)) == brute(rows)
 
 
 def test_threshold_is_inclusive(spark):
@@ -81,6 +84,18 @@ def test_keep_one_keeps_columns_and_one_row_of_each_component(odd_docs):
     assert ids == sorted([*first, None, None], key=repr)
 
 
+def test_texts_of_one_id_are_one_document(spark):
+    rng = random.Random(41)
+    a, b, c = (make_text(rng, 60) for _ in range(3))
+    rows = [(5, a, "x"), (5, b, "y"), (5, b, "w"), (3, a, "z"), (9, b, "v"), (2, c, "q"), (2, c, "p"), (None, c, "n"), (None, c, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert got(jaccard_components(df, sketch_bits=16)) == brute([r[:2] for r in rows])
+    # 5 and 9 go with 3; of the equal rows of 2 the least stays, rows without an id stay
+    assert sorted(map(tuple, keep_one(df).collect()), key=repr) == sorted([(3, a, "z"), (2, c, "p"), (None, c, "n"), (None, c, "n")], key=repr)
+    alone = spark.createDataFrame([(5, a, "x"), (5, b, "y"), (6, c, None)], df.schema)
+    assert sorted(map(tuple, keep_one(alone).collect()), key=repr) == sorted(map(tuple, alone.collect()), key=repr)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(900, 901), (None, 5), (7, 7)], "a long, b long")
     out = {r.node: r.component for r in components(links).collect()}
