@@ -3,6 +3,8 @@
 Letters are lower-cased, every run of other characters is one space. The counts of all
 training documents are gathered; the matrix of log-probabilities (one row for each
 of the hashed n-grams, one column for each language) is of fixed size and is broadcast.
+It holds whole multiples of 2**-POINT, so that a text's sums are exact: they do not depend on
+which texts share its batch.
 """
 
 from __future__ import annotations
@@ -16,12 +18,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagflow.llm.shared import text_batches
 from tagflow.llm.words import slices
 
 SIZES = (1, 2, 3)
 BITS = 15
 CELLS = 1 << BITS
-STEP = 1 << 18
+STEP = 1 << 18  # places scored at a time, fewer with many languages
+HELD = 128  # languages whose counts a task holds at a time
+POINT = 20
 U32 = np.uint32
 
 
@@ -38,18 +43,17 @@ def _lower() -> np.ndarray:
 
 
 def _letters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts, each between spaces and with single spaces, and where each begins."""
-    joined = "\0".join(x or "" for x in texts) + "\0"
+    """Code points of all texts, each between single spaces and with single spaces inside, and where each begins."""
+    joined = "".join(f"\0{x or ''}\0" for x in texts)
     raw = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    # a NUL in a text would look like a text's end: ends are known by the lengths
-    lens = np.array([len(x or "") + 1 for x in texts])
-    ends = np.cumsum(lens) - 1
+    # a NUL in a text looks like a text's begin: begins are known by the lengths
+    begins = np.concatenate([[0], np.cumsum([len(x or "") + 2 for x in texts])])
     c = _lower()[raw]
     space = c == 32
     keep = ~space
     keep[1:] |= ~space[:-1]
-    keep[ends] = True
-    at = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], ends + 1])]
+    keep[begins[:-1]] = True
+    at = np.concatenate([[0], np.cumsum(keep)])[begins]
     return c[keep], at
 
 
@@ -63,28 +67,38 @@ def _cells(c: np.ndarray, size: int) -> np.ndarray:
     return (h >> U32(32 - BITS)).astype(np.int64)
 
 
-def _count(may_learn_of: list[str]):
-    place = {x: i for i, x in enumerate(may_learn_of)}
+def _inside(c: np.ndarray, at: np.ndarray, size: int, begin: int = 0) -> np.ndarray:
+    """Of the n-grams that begin in c, whether each lies in one text and is no blank. at: where texts begin, less begin."""
+    ok = np.ones(max(0, len(c) - size + 1), bool)
+    for k in range(1, size):
+        cross = at[1:-1] - k - begin
+        ok[cross[(cross >= 0) & (cross < len(ok))]] = False
+    if size == 1:
+        ok &= c != 32
+    return ok
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        total = np.zeros((len(place), CELLS), np.int64)
-        for batch in slices(batches, "text", 1 << 20):
-            texts = batch.column("text").to_pylist()
-            lang = np.array([place[x] for x in batch.column("lang").to_pylist()])
-            c, at = _letters(texts)
-            own = np.repeat(lang, np.diff(at))
-            for size in SIZES:
-                cells = _cells(c, size)
-                blank = c[: len(cells)] == 32 if size == 1 else np.zeros(len(cells), bool)
-                total += np.bincount(own[: len(cells)][~blank] * CELLS + cells[~blank], minlength=total.size).reshape(total.shape)
-        lane = TaskContext.get().partitionId() % 256
-        for x, i in place.items():
-            if total[i].any():
-                yield pa.RecordBatch.from_arrays([pa.array([x]), pa.array([lane], pa.int32()), pa.array([zlib.compress(total[i].tobytes(), 1)], pa.binary())], ["lang", "lane", "counts"])
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
+    lane = TaskContext.get().partitionId() % 256
+    total: dict[str, np.ndarray] = {}
 
-    return count
+    def out() -> Iterator[pa.RecordBatch]:
+        for x, counts in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([x]), pa.array([lane], pa.int32()), pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], ["lang", "lane", "counts"])
+        total.clear()
+
+    for batch in slices(batches, "text", 1 << 20):
+        names = batch.column("lang").to_pylist()
+        for lang in sorted(set(names)):
+            c, at = _letters([t for t, x in zip(batch.column("text").to_pylist(), names, strict=True) if x == lang])
+            if lang not in total and len(total) == HELD:
+                yield from out()
+            own = total.setdefault(lang, np.zeros(CELLS, np.int64))
+            for size in SIZES:
+                own += np.bincount(_cells(c, size)[_inside(c, at, size)], minlength=CELLS)
+    yield from out()
 
 
 def _add(rows: pa.Table) -> pa.Table:
@@ -92,25 +106,26 @@ def _add(rows: pa.Table) -> pa.Table:
     return pa.table({"lang": rows.slice(0, 1).column("lang"), "lane": pa.array([0], pa.int32()), "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
 
-def fit(docs: DataFrame, may_learn: Column, most_languages: int = 2000) -> tuple[list[str], np.ndarray]:
-    """Languages in order, and the float32 matrix (CELLS, languages) of log-probabilities.
+def fit(docs: DataFrame, may_learn: Column, most_languages: int = 500) -> tuple[list[str], np.ndarray]:
+    """Languages in order, and the int32 matrix (CELLS, languages) of log-probabilities in units of 2**-POINT.
 
     Learns from every row with may_learn and a non-null lang; a null text counts as empty. The
-    matrix must fit a task: more than most_languages languages is an error.
+    matrix must fit a task (64 MB for 500 languages): more than most_languages languages is an error.
     """
-    rows = docs.where(may_learn).where("lang IS NOT NULL").select("text", "lang")
+    rows = text_batches(docs).where(may_learn).where("lang IS NOT NULL").select("text", "lang")
     langs = sorted(r.lang for r in rows.select("lang").distinct().limit(most_languages + 1).collect())
     if len(langs) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
     if not langs:
-        return [], np.zeros((CELLS, 0), np.float32)
+        return [], np.zeros((CELLS, 0), np.int32)
     schema = "lang string, lane int, counts binary"
-    summed = rows.mapInArrow(_count(langs), schema).groupBy("lang", "lane").applyInArrow(_add, schema).groupBy("lang").applyInArrow(_add, schema).collect()
-    counts = np.zeros((CELLS, len(langs)))
-    for r in summed:
-        counts[:, langs.index(r.lang)] = np.frombuffer(zlib.decompress(r.counts), np.int64)
-    counts += 0.1
-    return langs, np.log(counts / counts.sum(0)).astype(np.float32)
+    summed = rows.mapInArrow(_count, schema).groupBy("lang", "lane").applyInArrow(_add, schema).groupBy("lang").applyInArrow(_add, schema).collect()
+    matrix = np.empty((CELLS, len(langs)), np.int32)
+    counts_of = {r.lang: r.counts for r in summed}
+    for i, x in enumerate(langs):
+        counts = 0.1 + (np.frombuffer(zlib.decompress(counts_of[x]), np.int64) if x in counts_of else np.zeros(CELLS))
+        matrix[:, i] = np.rint(np.log(counts / counts.sum()) * (1 << POINT))
+    return langs, matrix
 
 
 def _score(langs: list[str], matrix: np.ndarray, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -120,26 +135,22 @@ def _score(langs: list[str], matrix: np.ndarray, texts: list[str | None]) -> tup
     some = letters[at[1:]] > letters[at[:-1]]
     if not langs or not some.any():
         return names, score
-    total = np.zeros((len(texts), len(langs)))
-    edge = at[1:-1]  # n-grams across two texts belong to none
-    for begin in range(0, len(c), STEP):
-        piece = c[begin : begin + STEP + max(SIZES) - 1]
+    total = np.zeros((len(texts), len(langs)), np.int64)
+    step = max(1 << 10, min(STEP, STEP * 16 // len(langs)))
+    for begin in range(0, len(c), step):
+        piece = c[begin : begin + step + max(SIZES) - 1]
         for size in SIZES:
-            cells = _cells(piece, size)[:STEP]
+            cells = _cells(piece, size)[:step]
             if not len(cells):
                 continue
             p = matrix[cells]
-            for k in range(1, size):
-                cross = edge - k - begin
-                p[cross[(cross >= 0) & (cross < len(cells))]] = 0
-            if size == 1:
-                p[piece[: len(cells)] == 32] = 0
+            p[~_inside(piece, at, size, begin)[:step]] = 0
             first = int(np.searchsorted(at, begin, "right")) - 1
             last = int(np.searchsorted(at, begin + len(cells)))
             starts = np.maximum(at[first:last] - begin, 0)
-            total[first:last] += np.add.reduceat(p, starts, axis=0, dtype=np.float64)
+            total[first:last] += np.add.reduceat(p, starts, axis=0, dtype=np.int64)
     best = total.argmax(1)
-    score[:] = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+    score[:] = 1 / np.exp((total - total.max(1, keepdims=True)) / (1 << POINT)).sum(1)
     for i in np.flatnonzero(some):
         names[i] = langs[best[i]]
     return names, np.where(some, score, 0.0)
@@ -163,4 +174,4 @@ def predict(docs: DataFrame, may_learn: Column) -> DataFrame:
             names, score = _score(langs, matrix, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (~learn).alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", (~learn).alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
