@@ -169,9 +169,12 @@ SELECT name, CASE WHEN g = 1 AND p = 1 THEN 'TP' WHEN p = 1 THEN 'FP' WHEN g = 1
 
 @query(f"WITH cases AS ({CASES}) SELECT * FROM cases WHERE badge IN ('FP', 'FN')")
 def error_cases(spark, d):
-    # one grouping gives both lists
-    lists = [F.array_sort(F.collect_list(F.when(F.col(c) == 1, F.col("attr")))).alias(a) for c, a in (("gt", "g"), ("pred", "p"))]
-    return J.badged(scores_long(spark, d).groupBy("name").agg(*lists), "big", "both")
+    # a line item's labels as arrays, without a row for each attribute; one grouping gives both lists
+    true = [F.when(F.expr(g), F.lit(a)) for a, (g, _) in ATTRS.items()]
+    predicted = [F.when(F.expr(f"CAST({s} AS DOUBLE)") >= 0.5, F.lit(a)) for a, (_, s) in ATTRS.items()]
+    items = table(spark, d, "lineitem").select(F.expr(NAME).alias("name"), F.array_compact(F.array(*true)).alias("g"), F.array_compact(F.array(*predicted)).alias("p"))
+    lists = [F.array_sort(F.flatten(F.collect_list(c))).alias(c) for c in ("g", "p")]
+    return J.badged(items.groupBy("name").agg(*lists), "big", "both")
 
 
 # ---- terms

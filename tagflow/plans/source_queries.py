@@ -82,7 +82,7 @@ def write_wide_csv(spark, d):
     return spark.read.csv(path, header=True, schema="name string, " + ", ".join(f"prob_{a} double, pred_{a} int" for a in ATTRS))
 
 
-@query("SELECT DISTINCT 'flag=' || l_returnflag AS category, 'status=' || l_linestatus AS subcategory, 'parquet' AS ext, 0 AS n_empty FROM lineitem")
+@query("SELECT DISTINCT 'flag=' || l_returnflag AS category, 'status=' || l_linestatus AS subcategory, 'parquet' AS ext, 0 AS n_empty FROM lineitem", name="image_catalog")
 def image_catalog_files(spark, d):
     """Folders of files that Spark wrote, listed as a catalogue of the suffix parquet."""
     path = place(spark, "catalogue")
@@ -113,7 +113,7 @@ def _supplier(path: str = "path"):
     return F.regexp_extract(path, r"s_suppkey=(\d+)/", 1).cast("long").alias("s_suppkey")
 
 
-@query("SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, 4 AS width, CAST(s_suppkey % 3 + 2 AS INTEGER) AS height, 3 AS channels, lower(hex(chr(CAST(s_suppkey % 30 + 60 AS INTEGER)))) AS first_blue FROM supplier")
+@query("SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, 4 AS width, CAST(s_suppkey % 3 + 2 AS INTEGER) AS height, 3 AS channels, lower(hex(chr(CAST(s_suppkey % 30 + 60 AS INTEGER)))) AS first_blue FROM supplier", name="read_images")
 def read_images_files(spark, d):
     return supplier_images(spark, d).select(_supplier(), "width", "height", "channels", F.lower(F.hex(F.substring("data", 1, 1))).alias("first_blue"))
 
