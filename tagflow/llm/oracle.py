@@ -49,9 +49,9 @@ r AS (SELECT *, 3 * source_size AS lim, 3 * source_size / weight AS ratio FROM z
 y0 AS (SELECT ratio, rank, ((SELECT sum(source_size) FROM z) - lim_before) / ((SELECT sum(weight) FROM z) - w_before) AS level FROM c),
 v AS (SELECT coalesce(arg_min(level, ratio * 1e6 + rank) FILTER (ratio >= level), 1e300) AS level FROM y0),
 t AS (SELECT source, rank, source_size, least(weight * level, lim)::DOUBLE AS target FROM r, v),
-u AS (SELECT source, rank, source_size, target, sum(target) OVER (ORDER BY rank) / (SELECT sum(target) FROM t) AS high FROM t), y AS (SELECT *, coalesce(lag(high) OVER (ORDER BY rank), 0.0) AS low FROM u),
-k AS (SELECT i, (i * 0.6180339887498949::DOUBLE) % 1.0::DOUBLE AS point FROM range(CAST((SELECT round(sum(target) / 32) FROM t) AS BIGINT)) q(i)),
-e AS (SELECT rank, row_number() OVER (PARTITION BY rank ORDER BY i) - 1 AS n, CAST(ceil(source_size / 32) AS BIGINT) AS blocks FROM k JOIN y ON point >= low AND point < CASE WHEN high > 1 - 1e-12 THEN 1.0 ELSE high END WHERE target > 0),
+u AS (SELECT source, rank, source_size, target, CAST(round(sum(target) OVER (ORDER BY rank) / (SELECT sum(target) FROM t) * 4398046511104) AS BIGINT) AS high FROM t), y AS (SELECT *, coalesce(lag(high) OVER (ORDER BY rank), 0) AS low FROM u),
+k AS (SELECT i, CAST((i::HUGEINT * 2718142227965) % 4398046511104 AS BIGINT) AS point FROM range(CAST((SELECT round(sum(target) / 32) FROM t) AS BIGINT)) q(i)),
+e AS (SELECT rank, row_number() OVER (PARTITION BY rank ORDER BY i) - 1 AS n, CAST(ceil(source_size / 32) AS BIGINT) AS blocks FROM k JOIN y ON point >= low AND point < high WHERE target > 0),
 x AS (SELECT rank, n % blocks AS block, count(*) AS times FROM e WHERE n < 3 * blocks GROUP BY ALL),
 f AS (SELECT d.*, rank, z.source_size, CAST(sum(size) OVER (PARTITION BY rank ORDER BY key, size, doc_id ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS first FROM d JOIN z ON d.source IS NOT DISTINCT FROM z.source),
 j AS (SELECT rank, first, size, unnest(range(first // 32, (first + size - 1) // 32 + 1)) AS block FROM f WHERE size > 0),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagflow.sources.scratch import discard, shared_dir, written
 
-__all__ = ["components", "discard", "shared_dir", "table", "text_batches", "written"]
+__all__ = ["components", "copies", "discard", "shared_dir", "table", "text_batches", "written"]
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 4 << 20
@@ -28,6 +28,13 @@ def text_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def copies(df: DataFrame, number: str, block: int = 4096) -> DataFrame:
+    """Each row of df as often as its column number says, with the column copy from 0; numbers of any size, in blocks."""
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(number) - 1) / block)))
+    inside = F.explode(F.sequence(F.col("__block") * block, F.least((F.col("__block") + 1) * block, F.col(number)) - 1))
+    return df.where(F.col(number) > 0).withColumn("__block", blocks).withColumn("copy", inside).drop("__block")
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of links(a, b) as (node, component), component = least node.
 

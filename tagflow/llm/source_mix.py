@@ -13,11 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tagflow.llm.host_rules import BLANKS
-from tagflow.llm.shared import written
+from tagflow.llm.shared import copies, written
+from tagflow.operators.joins import join_same
+from tagflow.operators.ranking import earlier_sums
 
-GOLDEN = 0.6180339887498949
+POINTS = 1 << 42
+GOLDEN = 2718142227965  # the golden ratio's fraction of POINTS; it is odd, so points repeat only after POINTS slots
 MOST_TIMES = 3  # what a document may at most be taken
-LANES = 256  # parts of a source that are laid end to end on their own
+LANE_ROWS = 50_000  # about so many documents are laid end to end on their own
+CHUNK = 1 << 16  # slots whose ranks are counted together
+CHUNKS = 1 << 12
 
 
 def word_count(text: Column) -> Column:
@@ -26,78 +31,71 @@ def word_count(text: Column) -> Column:
 
 
 def weighted(sources: DataFrame, weights: tuple[int, ...]) -> DataFrame:
-    """sources with the column weight: weights in turn over the sources by code point, null last.
-
-    The rank comes from ranges: counts of the ranges before, and the place in the range.
-    """
-    ranged = written(
-        sources.repartitionByRange(8, F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "ranged_sources")
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    parts = ranged.groupBy("part").agg(F.count("*").alias("c")).withColumn("offset", F.coalesce(F.sum("c").over(before), F.lit(0)))
-    place = F.row_number().over(W.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) - 1
-    rank = F.col("offset") + place
-    weight = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (rank % len(weights) + 1).cast("int"))
-    return ranged.join(F.broadcast(parts.select("part", "offset")), "part").withColumn("rank", rank).withColumn("weight", weight).drop("part", "offset")
+    """sources with rank, by code point, null last, and weight: weights in turn by rank."""
+    ordered = sources.withColumns({"none": F.col("source").isNull(), "one": F.lit(1)})
+    ranked = earlier_sums(ordered, ["none", "source"], {"rank": F.col("one")}).drop("none", "one")
+    weight = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    return ranked.withColumn("weight", weight)
 
 
 def fill(sources: DataFrame, most_times: int = MOST_TIMES) -> DataFrame:
-    """sources(source_size, weight) with the column target: shares of all words by weight, at most most_times the size.
+    """sources(rank, source_size, weight) with the column target: shares of all words by weight, at most most_times the size.
 
-    What is cut off is shared again by weight among the sources below their limit until none is
-    above: each round is one sum over the sources and settles at least one of them.
+    What is cut off is shared again by weight among the sources below their limit until none is above. In the order
+    of limit / weight the sources at their limit come first: with the limits and weights of those before a source known,
+    the level of the others follows, and the first source whose limit is not below its level settles all.
     """
     total = sources.agg(F.sum("source_size")).first()[0] or 0
-    level = 0.0
-    while True:
-        limit = F.col("source_size") * most_times
-        full = F.col("weight") * level > limit
-        fixed, free = sources.agg(
-            F.sum(F.when(full, limit).otherwise(0)).cast("double"), F.sum(F.when(full, 0.0).otherwise(F.col("weight")))).first()
-        new = (total - (fixed or 0.0)) / free if free else level
-        if new <= level or not free:
-            break
-        level = new
-    return sources.withColumn("target", F.least(F.col("weight") * F.lit(level), (F.col("source_size") * most_times).cast("double")))
-
-
-def _source_join(left: DataFrame, right: DataFrame, *more: str, how: str = "inner") -> DataFrame:
-    """On source, null equal to null, and more columns."""
-    other = right.withColumnsRenamed({c: f"__{c}" for c in ("source", *more)})
-    on = left["source"].eqNullSafe(other["__source"])
-    for c in more:
-        on = on & (left[c] == other[f"__{c}"])
-    return left.join(other, on, how).drop("__source", *[f"__{c}" for c in more])
+    all_weight = sources.agg(F.sum("weight")).first()[0] or 0.0
+    limit = F.col("source_size") * most_times
+    ordered = earlier_sums(sources.withColumns({"limit": limit, "ratio": limit / F.col("weight")}), ["ratio", "rank"], {"limits": F.col("limit"), "weights": F.col("weight")})
+    level = (F.lit(total) - F.col("limits")) / (F.lit(all_weight) - F.col("weights"))
+    settled = ordered.withColumn("level", level).where("ratio >= level").agg(F.min_by("level", F.struct("ratio", "rank"))).first()[0]
+    # no source: none has room, which needs most_times < 1
+    return sources.withColumn("target", limit.cast("double") if settled is None else F.least(F.col("weight") * F.lit(settled), limit.cast("double")))
 
 
 def schedule(targets: DataFrame, block_words: int, slots: int | None = None) -> DataFrame:
     """Blocks to take: source, block (from 0), times. targets: source, rank, source_size, target.
 
     Slot k belongs to the source whose part of the cumulative targets holds the k-th point of
-    the golden-ratio sequence; the r-th slot of a source takes block r modulo its blocks.
+    the golden-ratio sequence; the r-th slot of a source takes block r modulo its blocks. Points and
+    parts are whole numbers below POINTS, so that slots of any number are dealt exactly.
     """
     spark = targets.sparkSession
-    total = targets.agg(F.sum("target")).first()[0] or 0.0
-    n = int(round(total / block_words)) if slots is None else slots
+    total, n_sources = targets.agg(F.sum("target"), F.count("*")).first()
+    n = int(round((total or 0.0) / block_words)) if slots is None else slots
     if not total or not n:
         return spark.createDataFrame([], "source string, block long, times long")
-    cells, chunk = 1024, 1 << 16
-    upto = F.sum("target").over(W.orderBy("rank")) / F.lit(total)
-    spans = targets.select("source", "rank", "source_size", "target", upto.alias("high")).withColumn("low", F.coalesce(F.lag("high").over(W.orderBy("rank")), F.lit(0.0)))
-    spans = spans.where("target > 0").withColumn("high", F.when(F.col("high") > 1 - 1e-12, 1.0).otherwise(F.col("high")))
-    in_cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), F.lit(cells - 1).cast("long")))))
-    point = F.col("id") * F.lit(GOLDEN) % 1.0
-    points = spark.range(n).select("id", point.alias("point")).withColumn("cell", F.floor(F.col("point") * cells))
-    dealt = points.join(in_cells, "cell").where("point >= low AND point < high").select("id", "source", "source_size", F.floor(F.col("id") / chunk).alias("chunk"))
+    cells = 1 << min(20, max(10, (4 * n_sources).bit_length()))
+    # a slot looks for its source among those of its cell, an equal part of all points
+    bound = lambda x: F.round(x / F.lit(total) * POINTS).cast("long")
+    spans = earlier_sums(targets, ["rank"], {"upto": F.col("target")}).where("target > 0").select(
+        "source", "rank", "source_size", bound(F.col("upto")).alias("low"), bound(F.col("upto") + F.col("target")).alias("high"))
+    width = POINTS // cells
+    in_cells = spans.where("high > low").withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))))
+    points = spark.range(n).select("id", golden_point(F.col("id")).alias("point")).withColumn("cell", F.floor(F.col("point") / width))
+    dealt = points.join(in_cells, "cell").where("point >= low AND point < high").select("id", "source", "source_size", F.floor(F.col("id") / CHUNK).alias("chunk"))
     # the rank of a slot: the source's slots in earlier chunks, and its place in its chunk
     per_chunk = written(dealt.groupBy("source", "source_size", "chunk").agg(F.count("*").alias("c")), "slot_chunks")
-    before = W.partitionBy("source").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    starts = per_chunk.select("source", "chunk", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("start"))
-    ranked = _source_join(dealt.withColumn("place", F.row_number().over(W.partitionBy("source", "chunk").orderBy("id")) - 1), starts, "chunk")
+    # chunks by thousands, so that no task has all chunks of a source
+    far, near = F.floor(F.col("chunk") / CHUNKS), W.partitionBy("source", "far").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
+    fars = per_chunk.groupBy("source", far.alias("far")).agg(F.sum("c").alias("c"))
+    before = W.partitionBy("source").orderBy("far").rowsBetween(W.unboundedPreceding, -1)
+    begun = fars.select("source", "far", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("begun"))
+    starts = join_same(per_chunk.withColumn("far", far), begun, ["source", "far"]).select("source", "chunk", (F.col("begun") + F.coalesce(F.sum("c").over(near), F.lit(0))).alias("start"))
+    ranked = join_same(dealt.withColumn("place", F.row_number().over(W.partitionBy("source", "chunk").orderBy("id")) - 1), starts, ["source", "chunk"])
     blocks = F.ceil(F.col("source_size") / F.lit(block_words))
     slot_rank = F.col("start") + F.col("place")
     return ranked.where(slot_rank < MOST_TIMES * blocks).select("source", F.pmod(slot_rank, blocks).alias("block")).groupBy("source", "block").agg(F.count("*").alias("times"))
 
 
+def golden_point(k: Column) -> Column:
+    """k * GOLDEN modulo POINTS without overflow, for k below 2**41: the low and the high 20 bits of k apart."""
+    low, high = F.pmod(k, F.lit(1 << 20)), F.floor(k / F.lit(1 << 20))
+    return F.pmod(low * F.lit(GOLDEN) % POINTS + high * F.lit((GOLDEN << 20) % POINTS) % POINTS, F.lit(POINTS))
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     """A key of a row that rows without an id have too: md5 of the id and the text."""
     return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text, F.lit(""))))
@@ -119,23 +117,32 @@ def _dealt(docs: DataFrame, weights: tuple[int, ...], block_words: int) -> DataF
     """The rows of mixed() with their row_key as key."""
     # documents in an order of their own: by hash of id and text, the lane being its leading part
     key = row_key(F.col("doc_id"), F.col("text"))
-    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"))
-                    .withColumn("lane", F.conv(F.substring("key", 1, 2), 16, 10).cast("int")), "sized")
-    per_lane = written(sized.groupBy("source", "lane").agg(F.sum("size").alias("words")), "lanes")
+    # equal rows are one row with their number: a third of all rows may be copies of one without an id
+    each = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"))
+    made = written(each.groupBy("doc_id", "source", "size", "key").agg(F.count("*").alias("n")).withColumn("all", F.col("size") * F.col("n")), "sized")
+    digits = 2 + max(0, (made.count() // (256 * LANE_ROWS)).bit_length() + 3) // 4  # a digit more: sixteen times the lanes
+    sized = made.withColumn("lane", F.substring("key", 1, digits))
+    per_lane = written(sized.groupBy("source", "lane").agg(F.sum("all").alias("words")), "lanes")
     sources = per_lane.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = written(fill(written(weighted(sources, weights), "weighted")), "targets")
-    offsets = per_lane.withColumn("start", F.coalesce(F.sum("words").over(W.partitionBy("source").orderBy("lane").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    within = F.sum("size").over(W.partitionBy("source", "lane").orderBy("key", "size", "doc_id").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
-    placed = _source_join(sized.withColumn("within", within), offsets.select("source", "lane", "start"), "lane")
-    streams = written(placed.select("doc_id", "source", "size", "key", (F.col("start") + F.col("within")).alias("first")), "streams")
+    # lanes by their first two digits, so that no task has all lanes of a source
+    before = lambda *keys: W.partitionBy(*keys).orderBy("lane").rowsBetween(W.unboundedPreceding, -1)
+    head = F.substring("lane", 1, 2)
+    heads = per_lane.groupBy("source", head.alias("lane")).agg(F.sum("words").alias("words")).select("source", F.col("lane").alias("head"), F.coalesce(F.sum("words").over(before("source")), F.lit(0)).alias("begun"))
+    inner = per_lane.withColumn("head", head).withColumn("inner", F.coalesce(F.sum("words").over(before("source", "head")), F.lit(0)))
+    offsets = join_same(inner, heads, ["source", "head"]).withColumn("start", F.col("begun") + F.col("inner"))
+    within = F.sum("all").over(W.partitionBy("source", "lane").orderBy("key", "size", "doc_id").rowsBetween(W.unboundedPreceding, 0)) - F.col("all")
+    placed = join_same(sized.withColumn("within", within), offsets.select("source", "lane", "start"), ["source", "lane"])
+    first = F.col("start") + F.col("within") + F.col("copy") * F.col("size")
+    streams = written(copies(placed, "n").select("doc_id", "source", "size", "key", first.alias("first")), "streams")
     pieces = streams.where("size > 0").select(
         "doc_id", "source", "size", "first", F.explode(F.sequence(F.floor(F.col("first") / block_words), F.floor((F.col("first") + F.col("size") - 1) / block_words))).alias("block"))
     words_in = F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("first"), F.col("block") * block_words)
-    taken = _source_join(pieces, schedule(targets, block_words), "block").groupBy("source", "first").agg(F.sum(words_in * F.col("times")).alias("taken"))
+    taken = join_same(pieces, schedule(targets, block_words), ["source", "block"]).groupBy("source", "first").agg(F.sum(words_in * F.col("times")).alias("taken"))
     # a place in a source's stream names the document that begins there, if it has words
-    with_taken = _source_join(streams.where("size > 0"), taken, "first", how="left").select("doc_id", "source", "size", "key", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    with_taken = join_same(streams.where("size > 0"), taken, ["source", "first"], how="left").select("doc_id", "source", "size", "key", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     every = with_taken.unionByName(streams.where("size = 0").select("doc_id", "source", "size", "key", F.lit(0).cast("long").alias("taken")))
-    return _source_join(every, targets.select("source", "source_size", "target")).select("doc_id", "source", "size", "key", "source_size", "target", "taken")
+    return join_same(every, targets.select("source", "source_size", "target"), ["source"]).select("doc_id", "source", "size", "key", "source_size", "target", "taken")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), block_words: int = 32) -> DataFrame:
