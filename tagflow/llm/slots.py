@@ -1,25 +1,27 @@
 """Sharding over fixed virtual slots, in DataFrame functions alone.
 
 A record's hash names one of thousands of slots for good. A map from slots to shards is kept
-as a table with a version. Bytes are summed by slot; the map is made and edited from
-those sums, so moving data means moving whole slots. The map is the only thing the
-driver holds: a row for each slot, of which there is a fixed number.
+as a table of versions; the first deals slots in turn. Each run sums the bytes of the slots, edits the
+latest version so that shards are even again, and stores it as the next one, so moving data means moving
+whole slots. The map is the only thing the driver holds: a row for each slot, of which there is a fixed number.
 """
 
 from __future__ import annotations
 
-import heapq
+import bisect
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tagflow.llm.shared import written
+from tagflow.llm.shared import copies, shared_dir, written
 
 SLOTS = 4096
+LANE_ROWS = 50_000
 MAP_SCHEMA = "version int, slot int, shard int"
-MAP_CONF = "spark.tagflow.slot_map"  # where the query and the pipeline keep the map; unset: each run makes a first map
+MAP_CONF = "spark.tagflow.slot_map"  # where the query and the pipeline keep the map; unset: each run has its own
 
 
 def text_size(text: Column) -> Column:
@@ -40,33 +42,42 @@ def slot_bytes(records: DataFrame) -> dict[int, int]:
     return {r.virtual_slot: r.bytes for r in records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes")).collect()}
 
 
-def first_map(sizes: dict[int, int], shards: int, slots: int = SLOTS) -> list[tuple[int, int]]:
-    """(slot, shard) for all slots: the largest slot first, each to the shard with the fewest bytes (the first of equals)."""
-    heap = [(0, k) for k in range(shards)]
-    out = []
-    for slot in sorted(range(slots), key=lambda s: (-sizes.get(s, 0), s)):
-        load, shard = heapq.heappop(heap)
-        out.append((slot, shard))
-        heapq.heappush(heap, (load + sizes.get(slot, 0), shard))
-    return out
+def plain_map(shards: int, slots: int = SLOTS) -> list[tuple[int, int]]:
+    """The first version of a map, before any bytes are known: slots in turn."""
+    return [(s, s % shards) for s in range(slots)]
 
 
 def rebalanced(current: list[tuple[int, int]], sizes: dict[int, int], shards: int) -> list[tuple[int, int]]:
-    """The map edited for shards shards: slots move only from a shard above the mean to the shard with the fewest bytes,
-    the largest slot first that leaves the giver at the mean or above, or makes the fuller of the two smaller."""
+    """The map edited for shards shards. Slots of a shard that is no more go, the largest first, to the shard with the fewest
+    bytes. Then, again and again, the shard with the most bytes gives to that with the fewest the slot whose size is nearest
+    to half their difference, as long as one is smaller than that difference."""
     where = dict(current)
     load = [0] * shards
     for slot, shard in where.items():
-        load[shard] += sizes.get(slot, 0)
-    mean = sum(load) / shards
-    for giver in sorted(range(shards), key=lambda k: -load[k]):
-        for slot in sorted((s for s, k in where.items() if k == giver and sizes.get(s, 0)), key=lambda s: (-sizes[s], s)):
-            taker = min(range(shards), key=lambda k: (load[k], k))
-            if load[giver] > mean and taker != giver and load[taker] + sizes[slot] < load[giver]:
-                where[slot] = taker
-                load[giver] -= sizes[slot]
-                load[taker] += sizes[slot]
-    return sorted(where.items())
+        if shard < shards:
+            load[shard] += sizes.get(slot, 0)
+    for slot in sorted((s for s, k in where.items() if k >= shards), key=lambda s: (-sizes.get(s, 0), s)):
+        where[slot] = load.index(min(load))
+        load[where[slot]] += sizes.get(slot, 0)
+    own: list[list[tuple[int, int]]] = [[] for _ in range(shards)]
+    for slot, shard in where.items():
+        if sizes.get(slot, 0):
+            own[shard].append((sizes[slot], slot))
+    for found in own:
+        found.sort()
+    while True:
+        giver, taker = load.index(max(load)), load.index(min(load))
+        gap = load[giver] - load[taker]
+        at = bisect.bisect(own[giver], (gap // 2, -1))
+        fit = [x for x in own[giver][max(0, at - 1) : at + 1] if x[0] < gap]
+        if not fit:
+            return sorted(where.items())
+        size, slot = move = min(fit, key=lambda x: (abs(2 * x[0] - gap), x))
+        own[giver].remove(move)
+        bisect.insort(own[taker], move)
+        where[slot] = taker
+        load[giver] -= size
+        load[taker] += size
 
 
 def map_table(like: DataFrame, pairs: list[tuple[int, int]], version: int) -> DataFrame:
@@ -86,36 +97,48 @@ def stored_map(spark: SparkSession, path: str) -> tuple[int, list[tuple[int, int
     return version, sorted((r.slot, r.shard) for r in maps.where(F.col("version") == version).collect())
 
 
-def sharded(docs: DataFrame, shards: int = 16, slots: int = SLOTS, current: list[tuple[int, int]] | None = None, version: int = 1, map_path: str | None = None) -> DataFrame:
+def edited_map(records: DataFrame, path: str, shards: int, slots: int = SLOTS) -> tuple[int, list[tuple[int, int]]]:
+    """The map at path after this run: its latest version (the plain map is version 1 where there is none), edited by
+    the bytes of records; where the edit moves a slot it is added as the next version."""
+    spark = records.sparkSession
+    version, current = stored_map(spark, path)
+    if current and [s for s, _ in current] != list(range(slots)):
+        raise ValueError(f"the map at {path} is not one of {slots} slots")
+    store = lambda pairs, n: map_table(records, pairs, n).coalesce(1).write.mode("append").parquet(path)
+    if not current:
+        version, current = 1, plain_map(shards, slots)
+        store(current, version)
+    pairs = rebalanced(current, slot_bytes(records), shards)
+    if pairs != current:
+        version += 1
+        store(pairs, version)
+    return version, pairs
+
+
+def sharded(docs: DataFrame, shards: int = 16, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version.
 
     size: UTF-8 bytes of the text (null: none) plus 1. The shards have nearly equal bytes (law
     "bytes"), as near as whole slots allow. slot: the row's place in its shard, without gaps
-    from 0, by virtual slot, then doc_id (null first), checksum and size. current: the map
-    of an earlier version, which is then edited, not made anew. map_path: a table of all versions of the map
-    (MAP_SCHEMA, all slots); its latest version counts instead of current and version and, where the edit moves a slot,
-    the edited map is added as the next version. One run at a time may use it. Equal rows take neighbouring places.
-    Other columns are ignored; an empty table gives an empty result.
+    from 0, by virtual slot and then by hash of id and text. map_path: a table of all versions of the map
+    (MAP_SCHEMA, all slots), which this run edits; without it a new one in the shared folder. One run at a time may
+    use it. Equal rows take neighbouring places. Other columns are ignored; an empty table gives an empty result.
     """
-    if map_path:
-        stored, old = stored_map(docs.sparkSession, map_path)
-        if old and [s for s, _ in old] != list(range(slots)):
-            raise ValueError(f"the map at {map_path} is not one of {slots} slots")
-        current = old or None
     crc = text_crc(F.col("text"))
-    records = written(docs.select("doc_id", text_size(F.col("text")).alias("size"), crc.alias("text_crc32")).withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("text_crc32"), slots)), "records")
-    sizes = slot_bytes(records)
-    pairs = first_map(sizes, shards, slots) if current is None else rebalanced(current, sizes, shards)
-    if map_path:
-        version = stored if current == sorted(pairs) else stored + 1
-        if version > stored:
-            map_table(records, pairs, version).coalesce(1).write.mode("append").parquet(map_path)
-    where = written(map_table(records, pairs, version), "slot_map")
-    counts = records.groupBy("virtual_slot").agg(F.count("*").alias("n"))
-    before = W.partitionBy("shard").orderBy("virtual_slot").rowsBetween(W.unboundedPreceding, -1)
-    starts = written(
-        counts.join(where.withColumnRenamed("slot", "virtual_slot"), "virtual_slot").withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"), "slot_starts")
-    place = F.row_number().over(W.partitionBy("virtual_slot").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size")) - 1
-    return records.withColumn("place", place).join(F.broadcast(starts), "virtual_slot").select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("start") + F.col("place")).cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.col("version").alias("map_version"))
+    # equal rows are one row with their number: a third of all rows may be copies of one
+    records = written(
+        docs.select("doc_id", text_size(F.col("text")).alias("one"), crc.alias("text_crc32")).groupBy("doc_id", "one", "text_crc32").agg(F.count("*").alias("n"))
+        .withColumns({"size": F.col("one") * F.col("n"), "virtual_slot": virtual_slot(F.col("doc_id"), F.col("text_crc32"), slots)}), "records")
+    version, pairs = edited_map(records, map_path or f"{shared_dir(docs.sparkSession)}/tagflow/{uuid.uuid4().hex}/slot_map", shards, slots)
+    where = written(map_table(records, pairs, version).select(F.col("slot").alias("virtual_slot"), "shard"), "slot_map")
+    # places are counted in lanes, parts of a slot of about LANE_ROWS rows: the lanes before in the shard, then the place in the lane
+    lanes = max(1, records.count() // (slots * LANE_ROWS))
+    hashed = records.withColumn("h", F.xxhash64("doc_id", "text_crc32", "one")).withColumn("lane", F.pmod("h", F.lit(lanes)))
+    counts = hashed.groupBy("virtual_slot", "lane").agg(F.sum("n").alias("n")).join(where, "virtual_slot")
+    before = W.partitionBy("shard").orderBy("virtual_slot", "lane").rowsBetween(W.unboundedPreceding, -1)
+    starts = written(counts.select("virtual_slot", "lane", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "slot_starts")
+    inside = W.partitionBy("virtual_slot", "lane").orderBy("h", F.col("doc_id").asc_nulls_first(), "text_crc32", "one").rowsBetween(W.unboundedPreceding, -1)
+    placed = hashed.withColumn("place", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, ["virtual_slot", "lane"])
+    return copies(placed, "n").select(
+        "doc_id", F.col("one").alias("size"), "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("start") + F.col("place") + F.col("copy")).cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.lit(version).alias("map_version"))
