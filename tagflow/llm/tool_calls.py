@@ -1,9 +1,9 @@
 """Chat formatting by tool-call linking.
 
-Calls and results are joined by identifier. Calls of a conversation that wait for another call
-are put in topological order: the depth of each call comes from pointer doubling, so a chain
-of n calls takes log n joins. Arguments are checked against schemas, and each call is
-serialised as canonical JSON (sorted keys, no blanks, UTF-8).
+Calls and results are hash-joined by identifier. Calls of a conversation that wait for other calls
+are put in topological order: the depth of each call comes from doubling the steps to the calls
+it waits for, so a chain of n calls takes log n joins. Arguments are checked against schemas, and each
+call is serialised as canonical JSON (sorted keys, no blanks, UTF-8).
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tagflow.llm.shared import written
+from tagflow.llm.shared import discard, written
+from tagflow.operators.ranking import place_in
 
 
 @dataclass(frozen=True)
@@ -33,14 +34,20 @@ CHAT_TOOLS = {"reply": Tool({"prompt": "string", "system": "string", "turn": "in
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
 
 
-def argument_error(tools: dict[str, Tool], name: str | None, arguments: str | None) -> str | None:
-    """What is wrong with a call's arguments (JSON text), or None. The first error by argument name."""
+def parsed(arguments: str | None) -> tuple[bool, object]:
+    """(whether the text is JSON, its value or the text as it is)."""
+    try:
+        return True, json.loads(arguments or "")
+    except ValueError:
+        return False, arguments
+
+
+def argument_error(tools: dict[str, Tool], name: str | None, valid: bool, given: object) -> str | None:
+    """What is wrong with a call's parsed arguments, or None. The first error by argument name."""
     tool = tools.get(name or "")
     if tool is None:
         return "unknown tool"
-    try:
-        given = json.loads(arguments or "")
-    except ValueError:
+    if not valid:
         return "arguments are not JSON"
     if not isinstance(given, dict):
         return "arguments are not an object"
@@ -60,62 +67,65 @@ def canonical(value: object) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+ID = ["conv_id", "call_id"]
+
+
 def depths(calls: DataFrame) -> DataFrame:
-    """conv_id, call_id, depth from (conv_id, call_id, after): calls before it in its chain; null in a cycle.
+    """conv_id, call_id, depth of distinct calls(conv_id, call_id, after): the longest chain of calls before it; null in and behind a cycle.
 
-    after: the call whose result this one waits for; null, or not there: none.
+    after: identifiers of the calls whose results this one waits for; null ones, and such as are not there, count as
+    none. Steps to earlier calls are doubled: each round replaces a call's step to another by that call's own
+    steps, of several ways to one call the longest, until each way ends at a call that waits for none.
     """
-    ids = calls.select("conv_id", "call_id").distinct()
-    known = written(
-        calls.groupBy("conv_id", "call_id").agg(F.min("after").alias("after"))
-        .join(ids.select("conv_id", F.col("call_id").alias("after"), F.lit(True).alias("there")), ["conv_id", "after"], "left")
-        .select("conv_id", "call_id", F.when(F.col("there"), F.col("after")).alias("up"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("steps")), "calls")
-    state, reach, most = known, 1, known.count()
-    while reach <= most and not state.where("up IS NOT NULL").isEmpty():
-        top = state.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"))
-        state = written(state.join(top, ["conv_id", "up"], "left").select("conv_id", "call_id", F.col("next").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")), "calls")
-        reach *= 2
-    return state.select("conv_id", "call_id", F.when(F.col("up").isNull(), F.col("steps")).alias("depth"))
+    named = calls.select(*ID, F.explode("after").alias("up")).where("up IS NOT NULL").distinct()
+    there = calls.select("conv_id", F.col("call_id").alias("up"))
+    # a way: from a call to one before it, or with a null up to the beginning
+    ways = written(named.join(there.hint("shuffle_hash"), ["conv_id", "up"]).select(*ID, "up", F.lit(1).cast("long").alias("steps")), "ways")
+    most, reach = calls.groupBy("conv_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0, 1
+    while reach <= most and not ways.where("up IS NOT NULL").isEmpty():
+        on = ways.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"))
+        far = ways.where("up IS NOT NULL").join(on.hint("shuffle_hash"), ["conv_id", "up"], "left").select(*ID, F.col("next").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"))
+        after = written(far.unionByName(ways.where("up IS NULL")).groupBy(*ID, "up").agg(F.max("steps").alias("steps")), "ways")
+        discard(ways)
+        ways, reach = after, 2 * reach
+    longest = ways.groupBy(*ID).agg(F.max("steps").alias("steps"), F.max(F.col("up").isNotNull()).alias("endless"))
+    found = calls.select(*ID).join(longest.hint("shuffle_hash"), ID, "left")
+    return found.select(*ID, F.when(~F.coalesce("endless", F.lit(False)), F.coalesce("steps", F.lit(0).cast("long"))).alias("depth"))
 
 
 def linked_calls(calls: DataFrame, results: DataFrame, tools: dict[str, Tool]) -> DataFrame:
     """One row per call: conv_id, call_id, position, depth, name, linked, error, json.
 
-    calls: conv_id, call_id, after, turn, name, arguments (JSON text). results: conv_id, call_id,
-    content; of several results of a call the least content counts, of repeated calls the one of
+    calls: conv_id, call_id, after (an array of identifiers, or one), turn, name, arguments (JSON text). results:
+    conv_id, call_id, content; of several results of a call the least content counts, of repeated calls the one of
     the least turn. position: the call's place in its conversation, from 0, by depth, then turn,
-    then identifier: a call comes after the one it waits for; calls of a cycle (depth
+    then identifier: a call comes after those it waits for; calls in or behind a cycle (depth
     null) come last, with the error "cycle". A call without a result has linked false and no result
     in its json; results without a call are left out. Rows without conv_id or call_id are left out.
     """
+    if dict(calls.dtypes)["after"] == "string":
+        calls = calls.withColumn("after", F.array("after"))
     clean = calls.where("conv_id IS NOT NULL AND call_id IS NOT NULL")
-    once = clean.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "name", "arguments", "after")).alias("c")).select("conv_id", "call_id", "c.*")
+    once = clean.groupBy(*ID).agg(F.min(F.struct("turn", "name", "arguments", "after")).alias("c")).select(*ID, "c.*")
     once = written(once, "once")
-    answer = results.where("conv_id IS NOT NULL AND call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min("content").alias("content"), F.lit(True).alias("linked"))
-    joined = once.join(depths(once), ["conv_id", "call_id"]).join(answer, ["conv_id", "call_id"], "left").withColumn("linked", F.coalesce("linked", F.lit(False)))
+    answer = results.where("conv_id IS NOT NULL AND call_id IS NOT NULL").groupBy(*ID).agg(F.min("content").alias("content"), F.lit(True).alias("linked"))
+    # calls in or behind a cycle last; the sort key is never null
+    deep = depths(once.select(*ID, "after")).withColumn("level", F.coalesce("depth", F.lit(1 << 62)))
+    order = place_in(once.select(*ID, "turn").join(deep.hint("shuffle_hash"), ID), ["conv_id"], ["level", "turn", "call_id"], "position")
+    joined = once.join(order.select(*ID, "depth", "position").hint("shuffle_hash"), ID).join(answer.hint("shuffle_hash"), ID, "left").withColumn("linked", F.coalesce("linked", F.lit(False)))
 
     @F.arrow_udf("struct<error:string,json:string>")
     def render(conv: pa.Array, call: pa.Array, name: pa.Array, arguments: pa.Array, linked: pa.Array, content: pa.Array) -> pa.Array:
         errors, out = [], []
         for cv, i, n, a, ok, c in zip(*(x.to_pylist() for x in (conv, call, name, arguments, linked, content)), strict=True):
-            error = argument_error(tools, n, a)
-            try:
-                given = json.loads(a or "")
-            except ValueError:
-                given = a
-            errors.append(error)
+            valid, given = parsed(a)
+            errors.append(argument_error(tools, n, valid, given))
             out.append(canonical({"conversation": cv, "id": i, "name": n, "arguments": given} | ({"result": c} if ok else {})))
         return pa.StructArray.from_arrays([pa.array(errors, pa.string()), pa.array(out, pa.string())], ["error", "json"])
 
     shown = joined.withColumn("r", render("conv_id", "call_id", "name", "arguments", "linked", "content"))
-    # position by counts: of the calls of lower depth, then the place among those of the same depth
-    level = F.coalesce("depth", F.lit(1 << 62))
-    per_level = joined.groupBy("conv_id", level.alias("level")).agg(F.count("*").alias("n"))
-    before = W.partitionBy("conv_id").orderBy("level").rowsBetween(W.unboundedPreceding, -1)
-    starts = per_level.select(F.col("conv_id").alias("c"), F.col("level").alias("l"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    place = F.row_number().over(W.partitionBy("conv_id", level).orderBy("turn", "call_id")) - 1
-    return shown.withColumn("place", place).join(starts, (F.col("conv_id") == F.col("c")) & (level == F.col("l"))).select(
-        "conv_id", "call_id", (F.col("start") + F.col("place")).cast("long").alias("position"), "depth", "name", "linked",
+    return shown.select(
+        *ID, F.col("position").cast("long").alias("position"), "depth", "name", "linked",
         F.when(F.col("depth").isNull(), "cycle").otherwise(F.col("r.error")).alias("error"), F.col("r.json").alias("json"))
 
 
@@ -129,15 +139,23 @@ def chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     place = F.when(F.col("role") == "system", 0).when(F.col("role") == "user", 1).when(F.col("role") == "assistant", 2)
     turns = conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL").where(place.isNotNull()).groupBy("conv_id", "turn", "role").agg(F.min("text").alias("text"))
     named = lambda turn: F.concat(F.lit("turn-"), turn.cast("string"))
-    before = W.partitionBy("conv_id").orderBy("turn", place).rowsBetween(W.unboundedPreceding, -1)
+    # last: the user turn before; number: how many there are. They are sought among the user turns in one range of turns, and
+    # before it in the ranges' own sums, so that a conversation of any length is split
     user = F.when(F.col("role") == "user", F.col("turn"))
-    # last: the user turn before; number: how many there are
-    linked = written(turns.withColumn("last", F.last(user, ignorenulls=True).over(before)).withColumn("number", F.count(user).over(before)), "turns")
+    ranges = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(turns.withColumn("place", place).repartitionByRange(ranges, "conv_id", "turn", "place").withColumn("part", F.spark_partition_id()), "ranged_turns")
+    earlier = lambda *keys: W.partitionBy("conv_id", *keys[:-1]).orderBy(*keys[-1]).rowsBetween(W.unboundedPreceding, -1)
+    sums = ranged.groupBy("conv_id", "part").agg(F.max(user).alias("top"), F.count(user).alias("users"))
+    carried = sums.select("conv_id", "part", F.max("top").over(earlier(["part"])).alias("top"), F.coalesce(F.sum("users").over(earlier(["part"])), F.lit(0)).alias("users"))
+    inside = earlier("part", ["turn", "place"])
+    linked = written(
+        ranged.withColumn("own", F.last(user, ignorenulls=True).over(inside)).withColumn("count", F.count(user).over(inside)).join(carried, ["conv_id", "part"])
+        .select("conv_id", "turn", "role", "text", F.coalesce("own", "top").alias("last"), (F.col("count") + F.col("users")).alias("number")), "turns")
     lines = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("turn", "text"))))
     joined = F.when(F.size(lines) > 0, F.array_join(F.transform(lines, lambda x: x["text"]), "\n"))
     system = linked.where("role = 'system'").groupBy("conv_id", "number").agg(joined.alias("system"))
     arguments = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("prompt"), F.col("system"), F.col("turn")))
-    calls = linked.where("role = 'user'").join(system, ["conv_id", "number"], "left").select(
+    calls = linked.where("role = 'user'").join(system.hint("shuffle_hash"), ["conv_id", "number"], "left").select(
         "conv_id", named(F.col("turn")).alias("call_id"), named(F.col("last")).alias("after"), "turn", F.lit("reply").alias("name"), arguments.alias("arguments"))
     results = linked.where("role = 'assistant' AND last IS NOT NULL").groupBy("conv_id", "last").agg(joined.alias("content"))
     return calls, results.select("conv_id", named(F.col("last")).alias("call_id"), "content")

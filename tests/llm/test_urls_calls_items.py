@@ -2,14 +2,11 @@ import fnmatch
 import json
 import random
 
-import numpy as np
-import pyarrow as pa
 import pytest
 
-from tagflow.llm.decontamination import Items, candidates, contained_items, without_items
-from tagflow.llm.tool_calls import CHAT_TOOLS, Tool, argument_error, chat_calls, depths, linked_calls
+from tagflow.llm.decontamination import contained_items, without_items
+from tagflow.llm.tool_calls import CHAT_TOOLS, Tool, argument_error, chat_calls, depths, linked_calls, parsed
 from tagflow.llm.url_globs import Automaton, Rule, filter_urls
-from tagflow.llm.words import shingles, word_hashes
 from tests.llm.conftest import make_text
 from tests.llm.test_near import shingle_set
 
@@ -40,6 +37,14 @@ def test_url_rules(spark):
     assert filter_urls(df.limit(0)).count() == 0
 
 
+def test_rules_in_any_letters_and_very_long_urls(spark):
+    rules = (Rule("block", "é.org", "/ü/"), Rule("allow", "org", "/"))
+    urls = [(1, "http://a.é.org/ü/x"), (2, "http://é.org/u/x"), (3, "http://org/" + "y" * 200_000), (4, "http://" + "z." * 50_000 + "org/")]
+    out = {r.page_id: (r.verdict, r.rule, r.glob) for r in filter_urls(spark.createDataFrame(urls, "page_id long, url string"), rules, (Rule("block", "*", "*", False),)).collect()}
+    assert out == {1: ("block", "é.org/ü/", None), 2: ("allow", "org/", None), 3: ("allow", "org/", None), 4: ("allow", "org/", None)}
+    assert {r.glob for r in filter_urls(spark.createDataFrame([(1, "http://x.net")], "page_id long, url string"), rules, (Rule("block", "*ß*", "*", False), Rule("block", "*", "*", False))).collect()} == {"* *"}
+
+
 def test_items_equal_brute_force(spark, odd_docs, no_docs):
     rng = random.Random(12)
     items = [(i, make_text(rng, rng.randrange(5, 90))) for i in range(60)] + [(100, "one two"), (101, None), (102, "")]
@@ -62,7 +67,6 @@ def test_items_equal_brute_force(spark, odd_docs, no_docs):
                 want.add((d, i, len(qs), len(s & qs)))
     assert len(want) > 60
     assert {tuple(r) for r in contained_items(df, bench).collect()} == want
-    assert {tuple(r) for r in contained_items(df, bench, block_items=10).collect()} == want
     bad = {x[0] for x in want}
     assert {r.doc_id for r in without_items(df, bench).collect()} == {d for d, _ in docs} - bad
     assert without_items(odd_docs, bench).count() == odd_docs.count() and contained_items(no_docs, bench).count() == 0
@@ -70,18 +74,39 @@ def test_items_equal_brute_force(spark, odd_docs, no_docs):
     assert contained_items(df, bench.limit(0)).count() == 0
 
 
-def test_short_items_in_long_documents_are_all_found():
+def test_short_items_in_long_documents_are_all_found(spark):
     rng = random.Random(31)
     texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(5 + k % 8)) for k in range(3000)]
     docs = []
     for begin in range(0, 3000, 100):
         parts = [f"{make_text(rng, rng.randrange(1, 40))} {t}" for t in texts[begin : begin + 100]]
-        docs += [" ".join(parts), "", None]
-    items = Items(list(range(3000)), pa.array(texts), 5, 48)
-    got = candidates(items, *shingles(*word_hashes(pa.array(docs)), 5))
-    assert got >= {(3 * (k // 100), k) for k in range(3000)}
-    assert not candidates(items, np.zeros(0, np.uint64), np.zeros(1, np.int64))
-    assert candidates(Items([7], pa.array([texts[0]]), 5, 48), *shingles(*word_hashes(pa.array([None, texts[0].upper(), texts[1]])), 5)) == {(1, 0)}
+        docs += [" ".join(parts).upper(), "", None]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in contained_items(df, bench).collect()} == {(3 * (k // 100), k) for k in range(3000)}
+
+
+def test_items_in_repeated_and_nameless_rows(spark):
+    rng = random.Random(33)
+    item, clean = make_text(rng, 40), make_text(rng, 80)
+    rows = [(1, f"a b {item} c"), (1, f"a b {item} c"), (1, clean), (2, clean), (None, f"x {item}"), (None, clean), (None, None), (3, None), (4, "")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame([(7, item), (7, item), (7, make_text(rng, 30)), (None, make_text(rng, 30))], "item_id long, text string")
+    assert sorted(((r.doc_id, r.item_id, r.n_shingles, r.n_common) for r in contained_items(df, bench).collect()), key=repr) == sorted([(1, 7, 36, 36)] * 2 + [(None, 7, 36, 36)], key=repr)
+    kept = without_items(df, bench)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(2, clean), (None, clean), (None, None), (3, None), (4, "")], key=repr) and kept.columns == df.columns
+
+
+def test_an_item_anywhere_in_a_very_long_text(spark):
+    """Over the bounds of the steps in which bytes are hashed."""
+    rng = random.Random(35)
+    items = [make_text(rng, 20) for _ in range(12)]
+    filler = make_text(rng, 60_000)
+    text = " ".join(f"{filler[k * 40_000 : (k + 1) * 40_000]} {t}" for k, t in enumerate(items))
+    assert len(text) > 1 << 18
+    df = spark.createDataFrame([(1, text), (2, filler)], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in contained_items(df, bench).collect()} == {(1, k) for k in range(12)}
 
 
 TOOLS = {"add": Tool({"a": "integer", "b": "number"}, ("a",)), "free": Tool({}, (), True)}
@@ -91,7 +116,7 @@ TOOLS = {"add": Tool({"a": "integer", "b": "number"}, ("a",)), "free": Tool({},
     ("add", '{"a": 1}', None), ("add", '{"a": true}', "a is no integer"), ("add", '{"b": 1.5}', "missing a"), ("add", '{"a": 1, "c": 2}', "unexpected c"),
     ("add", "[1]", "arguments are not an object"), ("add", "{", "arguments are not JSON"), ("add", None, "arguments are not JSON"), ("none", "{}", "unknown tool"), ("free", '{"z": []}', None)])
 def test_argument_errors(name, text, error):
-    assert argument_error(TOOLS, name, text) == error
+    assert argument_error(TOOLS, name, *parsed(text)) == error
 
 
 def test_calls_are_linked_and_ordered(spark):
@@ -100,7 +125,8 @@ def test_calls_are_linked_and_ordered(spark):
     results = [("c", f"k{i}", f"r{i}") for i in range(0, 40, 2)] + [("c", "k0", "a later one"), ("e", "k0", "of none"), ("d", "z", None)]
     cs = spark.createDataFrame(calls, "conv_id string, call_id string, after string, turn long, name string, arguments string")
     rs = spark.createDataFrame(results, "conv_id string, call_id string, content string")
-    assert {(r.conv_id, r.call_id): r.depth for r in depths(cs.where("conv_id = 'c'")).collect()} == {("c", f"k{i}"): i for i in range(40)}
+    one = cs.where("conv_id = 'c'").selectExpr("conv_id", "call_id", "array(after) AS after")
+    assert {(r.conv_id, r.call_id): r.depth for r in depths(one).collect()} == {("c", f"k{i}"): i for i in range(40)}
     out = {(r.conv_id, r.call_id): r for r in linked_calls(cs, rs, TOOLS).collect()}
     assert len(out) == 43
     assert all(out["c", f"k{i}"].position == i and out["c", f"k{i}"].linked == (i % 2 == 0) for i in range(40))
@@ -111,6 +137,76 @@ def test_calls_are_linked_and_ordered(spark):
     assert linked_calls(cs.limit(0), rs, TOOLS).count() == 0
 
 
+def brute_depths(calls):
+    """(conv, call) -> longest chain of calls before it, None in or behind a cycle; by walking all ways."""
+    after = {(c, i): [(c, a) for a in (up or []) if a is not None] for c, i, up in calls}
+
+    def walk(x, above):
+        if x in above:
+            return None
+        found = [walk(u, above | {x}) for u in after[x] if u in after]
+        return None if None in found else max((d + 1 for d in found), default=0)
+
+    return {x: walk(x, frozenset()) for x in after}
+
+
+def test_calls_with_several_predecessors(spark):
+    rng = random.Random(19)
+    calls = []
+    for c in range(12):
+        for i in range(14):  # one of three conversations has ways back, so cycles
+            ups = [f"k{rng.randrange(14 if c % 3 == 0 and rng.random() < 0.3 else max(1, i))}" for _ in range(rng.randrange(4))] if i else []
+            calls.append((f"c{c}", f"k{i}", rng.choice([ups, [*ups, None], [*ups, "gone"]]) if ups else rng.choice([[], None])))
+    df = spark.createDataFrame(calls, "conv_id string, call_id string, after array<string>")
+    want = brute_depths(calls)
+    assert None in want.values() and max(d for d in want.values() if d is not None) > 5
+    assert {(r.conv_id, r.call_id): r.depth for r in depths(df).collect()} == want
+    full = df.selectExpr("*", "bigint(substr(call_id, 2)) AS turn", "'free' AS name", "'{}' AS arguments")
+    out = linked_calls(full, spark.createDataFrame([], "conv_id string, call_id string, content string"), TOOLS).collect()
+    place = {(r.conv_id, r.call_id): r.position for r in out}
+    for c in range(12):
+        assert sorted(p for (k, _), p in place.items() if k == f"c{c}") == list(range(14))
+    for c, i, ups in calls:
+        for u in ups or []:
+            if u in {f"k{k}" for k in range(14)} and want[c, i] is not None:
+                assert place[c, u] < place[c, i]
+
+
+def brute_chats(turns):
+    """conv -> list of (user turn, prompt, system, result), by a plain loop over the turns in order."""
+    rank = {"system": 0, "user": 1, "assistant": 2}
+    texts = {}
+    for c, t, role, text in turns:
+        if c is not None and t is not None and role in rank:
+            old = texts.get((c, t, rank[role]), (True, None))
+            new = (text is None, text)
+            texts[c, t, rank[role]] = min(old, new, key=lambda x: (x[0], x[1] or ""))
+    out, system = {}, {}
+    for (c, t, r), (_, text) in sorted(texts.items()):
+        calls = out.setdefault(c, [])
+        if r == 0:
+            system.setdefault(c, []).append(text)
+        elif r == 1:
+            calls.append([t, text or "", [x for x in system.pop(c, []) if x is not None], None])
+        elif calls:
+            calls[-1][3] = [*(calls[-1][3] or []), *([] if text is None else [text])]
+    return out
+
+
+def test_chats_equal_a_plain_loop(spark):
+    """Conversations of all lengths, one of them with a third of all rows, in more ranges than conversations."""
+    rng = random.Random(29)
+    turns = [(0 if rng.random() < 0.35 else rng.randrange(1, 40), rng.randrange(400), rng.choice(["user", "assistant", "system", "tool", None]), rng.choice([None, "", "x", "long text " * 3])) for _ in range(1500)]
+    turns += [(50, 0, "user", "word " * 60_000)]
+    out = linked_calls(*chat_calls(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)), CHAT_TOOLS).collect()
+    got = {}
+    for r in sorted(out, key=lambda r: r.position):
+        j = json.loads(r.json)
+        got.setdefault(r.conv_id, []).append((j["arguments"]["turn"], j["arguments"]["prompt"], j["arguments"].get("system"), j.get("result"), r.linked, r.depth))
+    want = {c: [(t, p, "\n".join(s) if s else None, "\n".join(a) if a else None, a is not None, k) for k, (t, p, s, a) in enumerate(calls)] for c, calls in brute_chats(turns).items() if calls}
+    assert got == want
+
+
 def test_plain_chats(spark):
     turns = [(1, 0, "system", "be\nbrief"), (1, 1, "user", 'say "é"'), (1, 2, "assistant", "é"), (1, 3, "user", None), (2, 0, "user", ""), (2, 0, "user", ""), (None, 0, "user", "x"), (3, None, "user", "x"), (3, 0, None, "x")]
     df = spark.createDataFrame([(*t, "clash") for t in turns], "conv_id long, turn long, role string, text string, name string")
