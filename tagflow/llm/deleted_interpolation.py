@@ -5,15 +5,17 @@ bucket of the context's frequency c(h) and a(k) + b(k) + u(k) = 1. The weights a
 expectation-maximisation on a part of the training documents whose counts are left out
 while they are learned; the scores then use the counts of all training documents.
 
-Texts are packed into blocks of some MB. A block sends each of its distinct n-grams once,
-with its count, to the bucket of the n-gram's hash, so a frequent n-gram costs one entry a
-block; the bucket sends the corpus totals back. Counts never leave the executors, except
-N, V and a table of quantised estimates of fixed size from which the weights are learned.
+Texts are packed into blocks of some MB. The totals of a block's distinct n-grams come from
+a tree. A block sends its sorted n-grams, cut into 2**bits ranges of their hashes, to a
+node that merges 2**bits blocks; a node is one group for each range, so it holds no more than a block does.
+A node sends what it has merged, each range cut into 2**bits again, to the next level,
+until one node is left, and the totals come back the same way. So the rows of each level are a fixed
+number for each block, and a level is added when the blocks become 2**bits times as many. Counts never leave the
+executors, except N, V and a table of quantised estimates of fixed size from which the weights are learned.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.llm.shared import written
+from tagflow.llm.shared import discard, text_batches, written
 from tagflow.llm.words import mix, slices, text_bytes, word_hashes
 
 U = np.uint64
@@ -47,13 +49,18 @@ def _unpack(raw: bytes, n: int) -> np.ndarray:
 
 
 def blocks(docs: DataFrame, held_out, tuning, block_bytes: int) -> DataFrame:
-    """Rows of packed texts: block, tuning, n_docs, n_tokens, ids, held, texts. Map-only."""
+    """Rows of packed texts: part (of docs), place (in the part), tuning, n_docs, n_bytes, ids, held, texts. Map-only."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, made = TaskContext.get().partitionId(), 0
         parts: dict[bool, list] = {False: [], True: []}
         sizes = {False: 0, True: 0}
 
         def out(which: bool) -> pa.RecordBatch:
+            nonlocal made
+            made += 1
             rows = pa.Table.from_batches(parts[which]).combine_chunks()
             raw, at = text_bytes(rows.column("text"))
             doc = pa.compute.fill_null(rows.column("doc_id").cast(pa.int64()), 0).to_numpy()
@@ -62,9 +69,9 @@ def blocks(docs: DataFrame, held_out, tuning, block_bytes: int) -> DataFrame:
             packed = zstandard.ZstdCompressor(level=1).compress(raw.tobytes())
             lens = np.diff(at).astype(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), pa.array([which]), pa.array([len(rows)], pa.int64()), pa.array([len(raw)], pa.int64())]
+                [pa.array([part], pa.int64()), pa.array([made - 1], pa.int64()), pa.array([which]), pa.array([len(rows)], pa.int64()), pa.array([len(raw)], pa.int64())]
                 + [pa.array([x], pa.binary()) for x in (doc.tobytes(), null.tobytes(), rows.column("held_out").to_numpy().tobytes(), lens.tobytes(), packed)],
-                ["block", "tuning", "n_docs", "n_bytes", "ids", "nulls", "held", "lens", "texts"])
+                ["part", "place", "tuning", "n_docs", "n_bytes", "ids", "nulls", "held", "lens", "texts"])
 
         import pyarrow.compute  # noqa: F401
 
@@ -81,8 +88,8 @@ def blocks(docs: DataFrame, held_out, tuning, block_bytes: int) -> DataFrame:
             if parts[which]:
                 yield out(which)
 
-    schema = "block string, tuning boolean, n_docs long, n_bytes long, ids binary, nulls binary, held binary, lens binary, texts binary"
-    return docs.select("doc_id", "text", held_out.alias("held_out"), tuning.alias("tuning")).mapInArrow(pack, schema)
+    schema = "part long, place long, tuning boolean, n_docs long, n_bytes long, ids binary, nulls binary, held binary, lens binary, texts binary"
+    return text_batches(docs).select("doc_id", "text", held_out.alias("held_out"), tuning.alias("tuning")).mapInArrow(pack, schema)
 
 
 class _Block:
@@ -127,56 +134,138 @@ class _Block:
         return out
 
 
+#: What a child sends to its node: its sorted n-grams of one range. child is a block, or a node of the level below with the range's upper bits.
+SENT = "ngrams int, node long, range long, child long, n long, keys binary, counts binary, tunes binary"
+#: What comes back to it: whole, the counts of all training documents, and tune, those of tuning documents. node is the child, sub the range's lower bits.
+BACK = "ngrams int, node long, range long, sub long, n long, whole binary, tune binary, types long, tokens long, tuned long"
+
+
+def _table(columns: dict[str, list], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.table({c: pa.array(columns[c], kinds[t]) for c, t in (x.split() for x in schema.split(", "))})
+
+
+def _cut(ngrams: int, child: int, names: np.ndarray, counts: np.ndarray, tunes: np.ndarray, level: int, bits: int, out: dict[str, list]) -> None:
+    """Adds the rows that a child sends to the given level: one for each range of level * bits bits."""
+    top = names >> U(64 - level * bits)
+    begin = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]])) if len(names) else []
+    for i, j in zip(begin, [*begin[1:], len(names)], strict=True):
+        gaps = names[i:j] >> U(64 - KEY_BITS if ngrams == 2 else 0)
+        gaps[1:] -= gaps[:-1].copy()
+        for k, v in (("ngrams", ngrams), ("node", child >> bits), ("range", int(top[i])), ("child", child), ("n", j - i), ("keys", _pack(gaps)), ("counts", _pack(counts[i:j])), ("tunes", _pack(tunes[i:j]))):
+            out[k].append(v)
+
+
 def _requests(bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
                 block = _Block(row)
-                out: dict[str, list] = {k: [] for k in ("ngrams", "bucket", "block", "tuning", "n", "keys", "counts")}
+                out: dict[str, list] = {x.split()[0]: [] for x in SENT.split(", ")}
                 for order in (1, 2):
                     names, counts = block.keys(order)
-                    top = names >> U(64 - bits) if bits else np.zeros(len(names), np.uint64)
-                    begin = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]]))
-                    for i, j in zip(begin, [*begin[1:], len(names)], strict=True):
-                        own = names[i:j] >> U(64 - KEY_BITS if order == 2 else 0)
-                        gaps = own.copy()
-                        gaps[1:] -= own[:-1]
-                        for k, v in (("ngrams", order), ("bucket", int(top[i])), ("block", row["block"]), ("tuning", row["tuning"]), ("n", len(own)), ("keys", _pack(gaps)), ("counts", _pack(counts[i:j]))):
-                            out[k].append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["ngrams"], pa.int32()), pa.array(out["bucket"], pa.int32()), pa.array(out["block"]), pa.array(out["tuning"]), pa.array(out["n"], pa.int64()), pa.array(out["keys"], pa.binary()), pa.array(out["counts"], pa.binary())], list(out))
+                    _cut(order, row["block"], names, counts, counts if row["tuning"] else np.zeros_like(counts), 1, bits, out)
+                yield from _table(out, SENT).to_batches()
 
     return send
 
 
-def _totals(rows: pa.Table) -> pa.Table:
-    """Of one bucket: the totals of each block's n-grams, and a row with no block for the bucket's own sums."""
-    got = rows.to_pylist()
-    keys = np.concatenate([np.cumsum(_unpack(r["keys"], r["n"]), dtype=np.uint64) for r in got])
-    counts = np.concatenate([_unpack(r["counts"], r["n"]).astype(np.int64) for r in got])
-    tuning = np.repeat(np.array([r["tuning"] for r in got]), [r["n"] for r in got])
-    names, of = np.unique(keys, return_inverse=True)
-    whole = np.bincount(of, weights=counts, minlength=len(names)).astype(np.int64)
-    fit = np.bincount(of[~tuning], weights=counts[~tuning], minlength=len(names)).astype(np.int64)
-    out = {"block": ["" if got[0]["ngrams"] == 1 else "-"], "tuning": [False], "ngrams": [got[0]["ngrams"]], "bucket": [got[0]["bucket"]], "n": [int((whole > 0).sum())], "whole": [b""], "fit": [b""], "tokens": [int(whole.sum())], "fit_tokens": [int(fit.sum())]}
+def _merged(got: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of what the children of a group sent: distinct n-grams, the place of each sent one among them, sums of counts and tunes."""
+    up = U(64 - KEY_BITS if got[0]["ngrams"] == 2 else 0)
+    names, of = np.unique(np.concatenate([np.cumsum(_unpack(r["keys"], r["n"]), dtype=np.uint64) for r in got]), return_inverse=True)
+    sums = [np.bincount(of, weights=np.concatenate([_unpack(r[k], r["n"]) for r in got]).astype(float), minlength=len(names)).astype(np.uint64) for k in ("counts", "tunes")]
+    return names << up, of, *sums
+
+
+def _climb(level: int, bits: int):
+    """What the groups of a level send to the next."""
+
+    def send(rows: pa.Table) -> pa.Table:
+        got = rows.to_pylist()
+        names, _, whole, tune = _merged(got)
+        out: dict[str, list] = {x.split()[0]: [] for x in SENT.split(", ")}
+        _cut(got[0]["ngrams"], got[0]["node"], names, whole, tune, level + 1, bits, out)
+        return _table(out, SENT)
+
+    return send
+
+
+def _answers(got: list[dict], of: np.ndarray, whole: np.ndarray, tune: np.ndarray, bits: int, leaves: bool, root: bool) -> pa.Table:
+    """Totals for each child of a group; of a root also a row with node -1 for the group's own sums.
+
+    leaves: the children are blocks, of which only those of tuning documents (all counts of such a block are tunes) get tune.
+    """
+    out: dict[str, list] = {x.split()[0]: [] for x in BACK.split(", ")}
+
+    def add(*values) -> None:
+        for k, v in zip(out, values, strict=True):
+            out[k].append(v)
+
+    if root:
+        add(got[0]["ngrams"], -1, 0, 0, 0, b"", b"", int((whole > 0).sum()), int(whole.sum()), int(tune.sum()))
     at = 0
     for r in got:
         own = of[at : at + r["n"]]
         at += r["n"]
-        for k, v in (("block", r["block"]), ("tuning", r["tuning"]), ("ngrams", r["ngrams"]), ("bucket", r["bucket"]), ("n", r["n"]), ("whole", zstandard.compress(_pack(whole[own].astype(np.uint64)), 1)), ("fit", zstandard.compress(_pack(fit[own].astype(np.uint64)), 1) if r["tuning"] else b""), ("tokens", 0), ("fit_tokens", 0)):
-            out[k].append(v)
-    return pa.table({
-        "block": pa.array(out["block"]), "tuning": pa.array(out["tuning"]), "ngrams": pa.array(out["ngrams"], pa.int32()), "bucket": pa.array(out["bucket"], pa.int32()), "n": pa.array(out["n"], pa.int64()),
-        "whole": pa.array(out["whole"], pa.binary()), "fit": pa.array(out["fit"], pa.binary()), "tokens": pa.array(out["tokens"], pa.int64()), "fit_tokens": pa.array(out["fit_tokens"], pa.int64())})
+        pack = lambda x: zstandard.compress(_pack(x[own]), 1)
+        add(r["ngrams"], r["child"], r["range"] >> bits, r["range"] & ((1 << bits) - 1), r["n"], pack(whole), b"" if leaves and not any(r["tunes"]) else pack(tune), 0, 0, 0)
+    return _table(out, BACK)
+
+
+def _root(bits: int, leaves: bool):
+    def answer(rows: pa.Table) -> pa.Table:
+        got = rows.to_pylist()
+        _, of, whole, tune = _merged(got)
+        return _answers(got, of, whole, tune, bits, leaves, True)
+
+    return answer
+
+
+def _totals_of(rows: list[dict], which: str) -> np.ndarray:
+    """The totals of a child's sorted n-grams, from what came back of its ranges."""
+    return np.concatenate([_unpack(zstandard.decompress(r[which]), r["n"]) for r in sorted(rows, key=lambda r: r["sub"])])
+
+
+def _descend(bits: int, leaves: bool):
+    """From what came back to a group to what it sends back to its children."""
+
+    def answer(sent: pa.Table, back: pa.Table) -> pa.Table:
+        got, totals = sent.to_pylist(), back.to_pylist()
+        if not got:
+            return _table({x.split()[0]: [] for x in BACK.split(", ")}, BACK)
+        return _answers(got, _merged(got)[1], _totals_of(totals, "whole"), _totals_of(totals, "tune"), bits, leaves, False)
+
+    return answer
+
+
+def totals(packed: DataFrame, blocks: int, bits: int) -> DataFrame:
+    """Rows BACK for each of the blocks (numbers below blocks), and those of the root with node -1."""
+    group, asked = ["ngrams", "node", "range"], packed.mapInArrow(_requests(bits), SENT)
+    if blocks <= 1 << bits:  # one level: what is sent is used once and need not be kept
+        return written(asked.groupBy(*group).applyInArrow(_root(bits, True), BACK), "back")
+    levels = [written(asked, "sent")]
+    while blocks > 1 << (bits * len(levels)):
+        levels.append(written(levels[-1].groupBy(*group).applyInArrow(_climb(len(levels), bits), SENT), "sent"))
+    back = written(levels[-1].groupBy(*group).applyInArrow(_root(bits, False), BACK), "back")
+    for k, sent in reversed(list(enumerate(levels[:-1]))):
+        down = sent.groupBy(*group).cogroup(back.where("node >= 0").groupBy(*group)).applyInArrow(_descend(bits, k == 0), BACK)
+        below = written(back.where("node < 0").unionByName(down), "back")
+        discard(back)
+        back = below
+    discard(*levels)
+    return back
 
 
-def _returned(rows: list[dict], which: str) -> dict[int, np.ndarray]:
-    """Totals of a block's sorted n-grams, for each order."""
+def _returned(rows: list[dict], fit: bool) -> dict[int, np.ndarray]:
+    """Totals of a block's sorted n-grams, for each order; with fit without the tuning documents."""
     out = {}
     for order in (1, 2):
-        own = sorted((r for r in rows if r["ngrams"] == order), key=lambda r: r["bucket"])
-        out[order] = np.concatenate([_unpack(zstandard.decompress(r[which]), r["n"]) for r in own]).astype(np.int64)
+        own = [r for r in rows if r["ngrams"] == order]
+        out[order] = _totals_of(own, "whole").astype(np.int64)
+        if fit:
+            out[order] -= _totals_of(own, "tune").astype(np.int64)
     return out
 
 
@@ -196,7 +285,7 @@ def _evidence(fit_tokens: int):
         rows = block.to_pylist()
         found: dict[tuple, int] = {}
         for row in rows:
-            b, fit = _Block(row), _returned(totals.to_pylist(), "fit")
+            b, fit = _Block(row), _returned(totals.to_pylist(), True)
             context = b.context(fit[1])
             one = fit[1][b.uni_of] / max(1, fit_tokens)
             two = fit[2][b.bi_of] / np.maximum(1, context)
@@ -231,7 +320,7 @@ def _scores(weights: np.ndarray, tokens: int, types: int):
     def score(block: pa.Table, totals: pa.Table) -> pa.Table:
         out = []
         for row in block.to_pylist():
-            b, whole = _Block(row), _returned(totals.to_pylist(), "whole")
+            b, whole = _Block(row), _returned(totals.to_pylist(), False)
             context, one, two = b.context(whole[1]), whole[1][b.uni_of], whole[2][b.bi_of]
             w = weights[frequency_bucket(context)]
             p = w[:, 0] * two / np.maximum(1, context) + w[:, 1] * one / max(1, tokens) + w[:, 2] * (one == 0)
@@ -248,7 +337,7 @@ def _scores(weights: np.ndarray, tokens: int, types: int):
     return score
 
 
-def interpolated_scores(docs: DataFrame, held_out, tuning, block_bytes: int = 4 << 20, bucket_entries: int = 1 << 19) -> DataFrame:
+def interpolated_scores(docs: DataFrame, held_out, tuning, block_bytes: int = 4 << 20, bits: int = 8) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     held_out: column, true for documents that nothing is learned from. tuning: true for
@@ -256,24 +345,22 @@ def interpolated_scores(docs: DataFrame, held_out, tuning, block_bytes: int = 4
     A null or empty text is its end token alone. Without training documents every token
     is unknown: train_tokens is 0 and the scores are 0. Without tuning documents the
     weights are equal. Repeated rows count as often as they occur. Other columns are
-    ignored; a null doc_id is returned as null.
+    ignored; a null doc_id is returned as null. A text of any length is in one block.
+    bits: of the tree's ranges and of the children of a node; changes the work, not the result.
     """
     held = F.coalesce(held_out, F.lit(True))
-    packed = written(blocks(docs, held, F.coalesce(tuning, F.lit(False)) & ~held, block_bytes), "blocks")
+    made = written(blocks(docs, held, F.coalesce(tuning, F.lit(False)) & ~held, block_bytes), "blocks")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    size = packed.agg(F.sum("n_bytes"), F.sum("n_docs")).first()
-    if not size[1]:
+    parts, most = made.agg(F.max("part"), F.max("place")).first()
+    if parts is None:
         return docs.sparkSession.createDataFrame([], schema)
-    bits = max(0, ((size[0] // 6 + size[1]) // bucket_entries).bit_length())
-    asked = packed.mapInArrow(_requests(bits), "ngrams int, bucket int, block string, tuning boolean, n long, keys binary, counts binary")
-    totals = written(
-        asked.groupBy("ngrams", "bucket").applyInArrow(
-            _totals, "block string, tuning boolean, ngrams int, bucket int, n long, whole binary, fit binary, tokens long, fit_tokens long"), "totals")
-    types, tokens, fit_tokens = (x or 0 for x in totals.where("block = ''").agg(F.sum("n"), F.sum("tokens"), F.sum("fit_tokens")).first())
-    back = totals.where("block NOT IN ('', '-')")
+    packed = made.withColumn("block", F.col("part") * (most + 1) + F.col("place"))
+    back = totals(packed, (parts + 1) * (most + 1), bits)
+    sums = back.where("node < 0").groupBy("ngrams").agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens"), F.sum("tuned").alias("tuned"))
+    types, tokens, tuned = next(((r.types, r.tokens, r.tuned) for r in sums.collect() if r.ngrams == 1), (0, 0, 0))
+    own = back.where("node >= 0").withColumnRenamed("node", "block")
     evidence = (
-        packed.where("tuning").groupBy("block").cogroup(back.where("tuning").select("block", "ngrams", "bucket", "n", "fit").groupBy("block"))
-        .applyInArrow(_evidence(fit_tokens), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas())
+        packed.where("tuning").groupBy("block").cogroup(own.where("length(tune) > 0").groupBy("block"))
+        .applyInArrow(_evidence(tokens - tuned), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas())
     weights = learn_weights(evidence["code"].to_numpy(np.int64), evidence["n"].to_numpy(float))
-    scored = packed.groupBy("block").cogroup(back.select("block", "ngrams", "bucket", "n", "whole").groupBy("block")).applyInArrow(_scores(weights, tokens, types), schema)
-    return scored
+    return packed.groupBy("block").cogroup(own.select("block", "ngrams", "sub", "n", "whole").groupBy("block")).applyInArrow(_scores(weights, tokens, types), schema)
