@@ -113,6 +113,21 @@ def test_numbering_splits_a_large_folder(spark):
     assert sorted((r.label, r.file, r.new_name) for r in out.collect()) == [(a, f, f"{a}_{int(f) + 1:05d}") for a, _, f in rows]
 
 
+def test_earlier_sums_and_places(spark):
+    import random
+
+    from tagflow.operators.ranking import earlier_sums, place_in
+
+    rng = random.Random(3)
+    rows = [(None if i % 13 == 0 else i % 3, rng.randrange(1000) * 1000 + i, rng.randrange(9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, o long, v long").repartition(5)
+    got = {r.o: (r.s, r.n) for r in earlier_sums(df, ["o"], {"s": F.col("v"), "n": F.lit(1)}).collect()}
+    assert got == {o: (sum(v for _, p, v in rows if p < o), sum(p < o for _, p, _ in rows)) for _, o, _ in rows}
+    places = {r.o: r.place for r in place_in(df, ["g"], ["o"]).collect()}
+    assert places == {o: sum(p < o for h, p, _ in rows if h == g) for g, o, _ in rows}
+    assert earlier_sums(df.limit(0), ["o"], {"s": F.col("v")}).columns == ["g", "o", "v", "s"] and place_in(df.limit(0), ["g"], ["o"]).count() == 0
+
+
 @pytest.mark.parametrize("height,width,channels,size", [(7, 13, 3, 5), (1100, 30, 1, 16), (3, 2, 4, 8), (40, 40, 3, 40)])
 def test_pixels_equal_a_plain_resize(height, width, channels, size):
     import numpy as np
