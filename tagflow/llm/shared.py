@@ -22,9 +22,9 @@ def text_batches(docs: DataFrame) -> DataFrame:
 
     A smaller limit that the session has already stays.
     """
-    conf = docs.sparkSession.conf
-    if int(conf.get(ARROW_BYTES).rstrip("b")) > BATCH_BYTES:
-        conf.set(ARROW_BYTES, BATCH_BYTES)
+    spark = docs.sparkSession
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ARROW_BYTES)) > BATCH_BYTES:
+        spark.conf.set(ARROW_BYTES, BATCH_BYTES)
     return docs
 
 

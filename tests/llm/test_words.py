@@ -40,3 +40,15 @@ def test_shingles_of_short_texts_are_the_whole_sequence():
     h, at = shingles(*word_hashes(pa.array(["a b c", "c b a", "a b c d e f", "", "a b c d e"])))
     assert np.diff(at).tolist() == [1, 1, 2, 0, 1]
     assert h[0] != h[1] and h[2] == h[4]
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    from tagflow.llm.shared import ARROW_BYTES, BATCH_BYTES, text_batches
+
+    before, docs = spark.conf.get(ARROW_BYTES), spark.range(1)
+    try:
+        for given, want in (("64MB", str(BATCH_BYTES)), ("1m", "1m"), ("1024", "1024")):
+            spark.conf.set(ARROW_BYTES, given)
+            assert text_batches(docs) is docs and spark.conf.get(ARROW_BYTES) == want
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
