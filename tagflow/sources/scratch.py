@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -19,11 +20,16 @@ def shared_dir(spark: SparkSession) -> str:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="tagflow-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _temporary()
     return found
 
 
+@functools.cache
+def _temporary() -> str:
+    """The driver's own folder: one for its lifetime."""
+    return "file://" + tempfile.mkdtemp(prefix="tagflow-")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors.
 

@@ -192,12 +192,12 @@ def test_scratch_on_a_cluster_needs_a_shared_folder():
 
     from tagflow.sources.scratch import shared_dir
 
-    session = lambda **c: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: c.get(k.split(".")[1], d), set=lambda k, v: None))
+    session = lambda **c: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: c.get(k.split(".")[1], d)))
     for master in ("local-cluster[2,1,1024]", "spark://h:7077", "yarn"):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_dir(session(master=master))
         assert shared_dir(session(master=master, checkpoint="s3a://b/c")) == "s3a://b/c"
-    assert shared_dir(session(master="local[2]")).startswith("file:/")
+    assert shared_dir(session(master="local[2]")).startswith("file:/") and shared_dir(session(master="local")) == shared_dir(session(master="local[2]"))
 
 
 def test_intake_runs_once_per_name(spark, tmp_path):
