@@ -19,13 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tagflow.llm.shared import written
+from tagflow.llm.shared import text_batches, written
 from tagflow.llm.words import text_bytes
 
 WIDTH = 6
 FILTERS = 8
 CHUNK = 512  # places a filter is tried at in a chunk; chunks overlap by WIDTH - 1 bytes
 STEP = 1 << 18  # places convolved at a time
+PENALTY = 1e-4
 
 
 @dataclass
@@ -105,6 +106,25 @@ def probabilities(model: Model, column: pa.Array) -> np.ndarray:
     return out
 
 
+def gradients(model: Model, texts: list[bytes], y: np.ndarray, weight: np.ndarray) -> dict:
+    """Of the weighted mean log loss (and a small penalty on out) by each part of a model that traces its maxima."""
+    at = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    best, chunk_at, (where, data) = _chunk_features(model, np.frombuffer(b"".join(texts), np.uint8), at)
+    active, feature = _document(model, best, chunk_at)
+    p = 1 / (1 + np.exp(-(feature @ model.out + model.out_bias)))
+    wrong = (p - y) * weight / len(texts)
+    doc = np.repeat(np.arange(len(texts)), np.diff(chunk_at))
+    back = wrong[doc, None] * model.out[:FILTERS] / np.diff(chunk_at)[doc, None]
+    top = active == feature[doc, FILTERS:]
+    ties = np.add.reduceat(top.astype(float), chunk_at[:-1], axis=0)  # chunks that share a document's maximum share its gradient
+    back = back + wrong[doc, None] * model.out[FILTERS:] * top / ties[doc]
+    back = (back * (1 - active**2)).astype(np.float32)
+    grad = {"tables": np.zeros_like(model.tables), "bias": back.sum(0), "out": feature.T @ wrong + PENALTY * model.out, "out_bias": float(wrong.sum())}
+    for k in range(WIDTH):
+        np.add.at(grad["tables"][k], (data[where + k], np.arange(FILTERS)[None, :]), back)
+    return grad
+
+
 def train(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed: int = 7, batch: int = 64, rate: float = 0.02) -> Model:
     """Adam on the log loss, both labels weighing the same; deterministic for the same rows in the same order."""
     y = np.asarray(labels, float)
@@ -122,20 +142,7 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed: int =
         order = rng.permutation(len(y))
         for begin in range(0, len(y), batch):
             pick = order[begin : begin + batch]
-            own = [texts[i] for i in pick]
-            at = np.concatenate([[0], np.cumsum([len(x) for x in own])])
-            best, chunk_at, (where, data) = _chunk_features(model, np.frombuffer(b"".join(own), np.uint8), at)
-            active, feature = _document(model, best, chunk_at)
-            p = 1 / (1 + np.exp(-(feature @ model.out + model.out_bias)))
-            wrong = (p - y[pick]) * weight[pick] / len(pick)
-            doc = np.repeat(np.arange(len(pick)), np.diff(chunk_at))
-            back = wrong[doc, None] * model.out[:FILTERS] / np.diff(chunk_at)[doc, None]
-            top = active == feature[doc, FILTERS:]
-            back = back + wrong[doc, None] * model.out[FILTERS:] * top
-            back = (back * (1 - active**2)).astype(np.float32)
-            grad = {"tables": np.zeros_like(model.tables), "bias": back.sum(0), "out": feature.T @ wrong + 1e-4 * model.out, "out_bias": float(wrong.sum())}
-            for k in range(WIDTH):
-                np.add.at(grad["tables"][k], (data[where + k], np.arange(FILTERS)[None, :]), back)
+            grad = gradients(model, [texts[i] for i in pick], y[pick], weight[pick])
             step += 1
             now = rate * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
             for k in names:
@@ -169,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, rows_each: int =
     labels_of = lambda df: {r.label for r in df.select("label").distinct().collect()}
     if none := labels_of(lengths) - labels_of(chosen):
         raise ValueError(f"no document of label {min(none)} fits a sample of {bytes_each} bytes")
-    texts = docs.select("doc_id", "text", size.alias("size")).join(F.broadcast(chosen), ["doc_id", "size"])
+    texts = text_batches(docs).select("doc_id", "text", size.alias("size")).join(F.broadcast(chosen), ["doc_id", "size"])
     got = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,6 +216,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, thresho
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.3, **sample) -> DataFrame:
-    """The rows of docs whose score is at least threshold, all columns as they are."""
+    """The rows of docs whose score is at least threshold, all columns as they are. A null text is judged like an empty one,
+    a row with a null doc_id by its text like any other (its label is not learned from)."""
     model = fit(docs, labels, ~F.coalesce(held_out, F.lit(True)), **sample)
     return docs.where(score_column(model, F.col("text")) >= threshold)
