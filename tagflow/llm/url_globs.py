@@ -36,11 +36,11 @@ class Rule:
         return self.host + self.path
 
     def glob(self) -> list[tuple[str, str]]:
-        """Characters, and `*` with the class it stands for."""
+        """Bytes as characters, and `*` with the class it stands for."""
         host, path = (f"*.{self.host}", f"{self.path}*") if self.plain else (self.host, self.path)
         host = host if self.plain else f".{host}" if not host.startswith("*") else host
-        out = [("*", "host") if c == "*" else (c, "") for c in host]
-        return [*out, (SEPARATOR, ""), *[("*", "path") if c == "*" else (c, "") for c in path]]
+        parts = [[("*", kind) if b == 42 else (chr(b), "") for b in glob.encode()] for glob, kind in ((host, "host"), (path, "path"))]
+        return [*parts[0], (SEPARATOR, ""), *parts[1]]
 
 
 #: The given rules, fixed by the contract of the query.
@@ -117,11 +117,15 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = CONTRACT_RULES, glob
     rule: of the rules that fit, the longest (of equals the first); else null. verdict: the
     rule's; else "block" if one of globs fits, else "allow". glob: the first of globs that fits, if it
     decided. Null, empty and malformed URLs have an empty host and path, so no plain rule
-    fits. Rules are parameters of a bounded number; bytes of a URL outside ASCII match only `*`.
+    fits. Rules are parameters of a bounded number, compared with URLs byte by byte in UTF-8.
     Repeated rows are judged alike, other columns are ignored.
     """
     every = (*rules, *globs)
-    rank = sorted(range(len(rules)), key=lambda i: (-len(rules[i].name), i))
+    # in the order in which they decide; the last stands for none
+    rank = [*sorted(range(len(rules)), key=lambda i: (-len(rules[i].name), i)), *range(len(rules), len(every))]
+    name = pa.array([rules[i].name if i < len(rules) else None for i in rank] + [None], pa.string())
+    verdict = pa.array([every[i].verdict for i in rank] + ["allow"])
+    used = pa.array([None if i < len(rules) else f"{every[i].host} {every[i].path}" for i in rank] + [None], pa.string())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(every)
@@ -129,15 +133,11 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = CONTRACT_RULES, glob
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
             # a NUL in a URL is not the separator
             fits = automaton.fits([f".{h.replace(SEPARATOR, ' ')}{SEPARATOR}{p.replace(SEPARATOR, ' ')}".encode() for h, p in zip(hosts, paths, strict=True)])
-            names, verdicts, used = [], [], []
-            for row in fits:
-                hit = next((i for i in rank if row[i]), None)
-                glob = None if hit is not None else next((g for i, g in enumerate(globs) if row[len(rules) + i]), None)
-                names.append(rules[hit].name if hit is not None else None)
-                verdicts.append(rules[hit].verdict if hit is not None else glob.verdict if glob else "allow")
-                used.append(f"{glob.host} {glob.path}" if glob else None)
+            ordered = np.ones((len(fits), len(every) + 1), bool)
+            ordered[:, :-1] = fits[:, rank]
+            first = pa.array(ordered.argmax(1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("host"), batch.column("path"), pa.array(names, pa.string()), pa.array(verdicts, pa.string()), pa.array(used, pa.string())],
+                [batch.column("page_id"), batch.column("host"), batch.column("path"), name.take(first), verdict.take(first), used.take(first)],
                 ["page_id", "host", "path", "rule", "verdict", "glob"])
 
     host, path = url_parts(F.col("url"))
