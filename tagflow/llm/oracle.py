@@ -58,6 +58,19 @@ j AS (SELECT rank, first, size, unnest(range(first // 32, (first + size - 1) //
 g AS (SELECT rank, first, sum((least(first + size, (block + 1) * 32) - greatest(first, block * 32)) * times) AS taken FROM j JOIN x USING (rank, block) GROUP BY 1, 2)
 SELECT f.doc_id, f.size, CAST(f.source_size AS BIGINT) AS source_size, round(target, 6) AS target, CASE WHEN f.size > 0 THEN CAST(coalesce(taken, 0) AS BIGINT) ELSE 0 END AS taken FROM f JOIN t USING (rank) LEFT JOIN g ON f.rank = g.rank AND f.first = g.first AND f.size > 0"""
 
+COLLOCATIONS = f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p), t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1),
+o AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w), s AS (SELECT lang, w, i, unnest(range(1, 6)) AS k FROM o),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM s WHERE i + k - 1 <= len(w) GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+c AS (SELECT lang, k AS len, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1), x AS (SELECT *, unnest(range(1, len)) AS k FROM c),
+y AS (SELECT x.lang, x.phrase, x.a, p.a AS l, q.a AS r, n, x.k, CAST((1000::HUGEINT * x.a * n) // (p.a::HUGEINT * q.a) AS BIGINT) AS score FROM x JOIN f p ON p.lang = x.lang AND p.k = x.k AND p.phrase = array_to_string(x.w[1:x.k], ' ')
+ JOIN f q ON q.lang = x.lang AND q.k = x.len - x.k AND q.phrase = array_to_string(x.w[x.k + 1:x.len], ' ') JOIN t ON t.lang = x.lang),
+z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, w, a, len, unnest(range(2, len)) AS k FROM c WHERE len > 2), j AS (SELECT lang, w, a, k, unnest(range(1, len - k + 2)) AS b FROM i),
+d AS (SELECT DISTINCT j.lang, z.phrase FROM j JOIN z ON z.lang = j.lang AND z.phrase = array_to_string(j.w[j.b:j.b + j.k - 1], ' ') AND 100 * j.a >= 100 * z.a),
+g AS (SELECT z.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z ANTI JOIN d USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM g WHERE rank <= 2000"""
+
 #: By query. The others hash with functions that SQL does not have, learn, or write JSON; tests/llm hold them against brute force.
 SQL = {
     "op1_host_quality_rules": HOST_RULES,
@@ -65,4 +78,5 @@ SQL = {
     "op5_url_globs": URLS,
     "op6_benchmark_containment": CONTAINED,
     "op7_source_mix": MIX,
+    "op11_phrase_collocations": COLLOCATIONS,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagflow.llm import oracle
 from tagflow.llm.byte_cnn import quality_scores
+from tagflow.llm.collocations import collocations
 from tagflow.llm.decontamination import contained_items
 from tagflow.llm.deleted_interpolation import interpolated_scores
 from tagflow.llm.host_rules import judge
@@ -66,6 +67,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(table(spark, sf_dir, "documents"), remainder(4) != 2)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality_rules": op1_host_quality_rules,
     "op2_deleted_interpolation": op2_deleted_interpolation,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tool_calls": op8_tool_calls,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_language_id": op10_language_id,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = oracle.SQL
