@@ -40,8 +40,10 @@ def pieces(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts, with a line feed for each mark that ends a piece, and where the pieces begin (one more at the end)."""
     raw, at = text_bytes(column)
     flat = _FLAT[raw]
-    ends = np.flatnonzero((flat >= 10) & (flat <= 13))
-    return flat, np.union1d(at, ends)
+    edge = np.zeros(len(flat) + 1, bool)
+    edge[:-1] = (flat >= 10) & (flat <= 13)
+    edge[at] = True
+    return flat, np.flatnonzero(edge)
 
 
 def piece_words(flat: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.llm import oracle
+from tagflow.llm.alignment import aligned
 from tagflow.llm.byte_cnn import quality_scores
 from tagflow.llm.collocations import collocations
 from tagflow.llm.decontamination import contained_items
@@ -21,6 +22,8 @@ from tagflow.llm.source_mix import mixed
 from tagflow.llm.tool_calls import CHAT_TOOLS, chat_calls, linked_calls
 from tagflow.llm.url_globs import filter_urls
 
+TOKENIZERS_CONF = "spark.tagflow.tokenizers"  # the folder of the public tokenizers, on the driver
+
 
 def remainder(n: int) -> Column:
     """crc32 of the doc_id as text, modulo n."""
@@ -71,6 +74,11 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = spark.conf.get(TOKENIZERS_CONF, "/opt/tokenizers")
+    return aligned(table(spark, sf_dir, "documents"), f"{folder}/byte_bpe_50k.json", f"{folder}/piece_bpe_32k.model")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality_rules": op1_host_quality_rules,
     "op2_deleted_interpolation": op2_deleted_interpolation,
@@ -83,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_virtual_slots": op9_virtual_slots,
     "op10_language_id": op10_language_id,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = oracle.SQL
