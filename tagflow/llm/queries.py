@@ -15,6 +15,7 @@ from tagflow.llm.decontamination import contained_items
 from tagflow.llm.deleted_interpolation import interpolated_scores
 from tagflow.llm.host_rules import judge
 from tagflow.llm.language_id import predict
+from tagflow.llm.pii_crf import fit, labelled_table, private_spans
 from tagflow.llm.prefix_join import jaccard_components
 from tagflow.llm.shared import table
 from tagflow.llm.slots import MAP_CONF, sharded
@@ -79,6 +80,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned(table(spark, sf_dir, "documents"), f"{folder}/byte_bpe_50k.json", f"{folder}/piece_bpe_32k.model")
 
 
+def op13_pii_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return private_spans(docs, fit(labelled_table(docs)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality_rules": op1_host_quality_rules,
     "op2_deleted_interpolation": op2_deleted_interpolation,
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_phrase_collocations": op11_phrase_collocations,
     "op12_token_alignment": op12_token_alignment,
+    "op13_pii_field": op13_pii_field,
 }
 
 ORACLE_SQL: dict[str, str] = oracle.SQL
