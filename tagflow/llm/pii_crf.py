@@ -94,6 +94,7 @@ def shown(spans: list[Span]) -> str:
 _CLASS = np.arange(256)
 _CLASS[65:91], _CLASS[97:123], _CLASS[128:], _CLASS[48:58] = 1, 2, 2, 3
 _NAME = {1: "X", 2: "x"}
+_MARKS = ".,;:!?"
 MOST_DIGITS = 20
 
 
@@ -124,11 +125,15 @@ def features(word: bytes) -> tuple[int, ...]:
             runs[-1][1] += 1
         else:
             runs.append([c, 1])
-    exact = [f"d{min(n, MOST_DIGITS)}" if c == 3 else _NAME.get(c) or chr(c) for c, n in runs]
-    rough = ["d" if c == 3 else _NAME.get(c) or chr(c) for c, _ in runs]
+    name = lambda c: _NAME.get(c) or chr(c)
+    marks = "".join(name(c) for c, _ in runs)
+    while runs and name(runs[-1][0]) in _MARKS:  # what ends a sentence is no part of a shape
+        runs.pop()
+    exact = [f"d{min(n, MOST_DIGITS)}" if c == 3 else name(c) for c, n in runs]
+    rough = ["d" if c == 3 else name(c) for c, _ in runs]
     digits = sum(min(n, MOST_DIGITS) for c, n in runs if c == 3)
-    bare = "".join(rough).strip(".,;:!?\"'")
-    out = ["exact " + "".join(exact[:24]), "rough " + "".join(rough[:48]), "bare " + bare[:48], "first " + "".join(exact[:2]), "last " + "".join(exact[-2:]), f"digits {min(digits, MOST_DIGITS)}", f"runs {min(len(runs), 12)}"]
+    out = ["exact " + "".join(exact[:24]), "rough " + "".join(rough[:48]), "first " + "".join(exact[:2]), "last " + "".join(exact[-2:]), f"digits {min(digits, MOST_DIGITS)}", f"runs {min(len(runs), 12)}"]
+    out.append("end " + (marks[-1:] if marks[-1:] in _MARKS else ""))
     out += ["has " + c for c in sorted(set(rough) - {"X", "x"})] or ["letters"]
     return tuple(zlib.crc32(x.encode()) % CELLS for x in out)
 
