@@ -2,50 +2,13 @@
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagflow.functions.responses import coerce_flag, parse_model_json, parse_status, validate_choice
-
-Client = Callable[[dict, str], str]
-
-
-def call_client(client: Client, row: dict, prompt: str, attempts: int, delay: float, retry_on: tuple[type[Exception], ...]) -> tuple[str | None, int, str | None]:
-    """(answer, attempts made, last error). An answer is never asked for again, whatever it says."""
-    error = None
-    for n in range(1, attempts + 1):
-        try:
-            return client(row, prompt), n, None
-        except retry_on as e:
-            error = f"{type(e).__name__}: {e}"
-            if n < attempts:
-                time.sleep(delay)
-        except Exception as e:  # not worth a retry: the row stays, without an answer
-            return None, n, f"{type(e).__name__}: {e}"
-    return None, attempts, error
-
-
-def call_batch(rows: DataFrame, client_factory: Callable[[], Client], prompt: Column, partitions: int | None = None, attempts: int = 3, delay: float = 5.0, retry_on: tuple[type[Exception], ...] = (Exception,)) -> DataFrame:
-    """rows with raw (the answer), attempts and error. One client a task; partitions are the calls at a time.
-
-    Write the result before parsing it: then nothing that follows repeats a call.
-    """
-    asked = rows.withColumn("prompt", prompt)
-    if partitions is not None:
-        asked = asked.repartition(partitions)
-    fields = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
-
-    def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = client_factory()
-        for frame in frames:
-            got = [call_client(client, r, r.pop("prompt"), attempts, delay, retry_on) for r in frame.to_dict("records")]
-            yield frame.drop(columns="prompt").assign(raw=[g[0] for g in got], attempts=[g[1] for g in got], error=[g[2] for g in got])
-
-    return asked.mapInPandas(call, f"{fields}, raw string, attempts int, error string")
+from tagflow.operators.calls import Client, call_batch
 
 
 def parse_tags(answers: DataFrame, toes: Sequence[str], heels: Sequence[str], attrs: Sequence[str], raw: str = "raw", heel_fallback: str | None = None) -> DataFrame:

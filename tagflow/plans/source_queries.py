@@ -18,6 +18,8 @@ from tagflow.functions import prompts as P
 from tagflow.operators import joins as J
 from tagflow.operators import pixels as X
 from tagflow.operators import tagging as T
+from tagflow.operators.calls import Journal, call_batch
+from tagflow.operators.calls import read_journal as journal_rows
 from tagflow.plans.evaluation_queries import ATTRS, LONG, scores_long
 from tagflow.plans.label_queries import FLAGS, TAGS, tags
 from tagflow.plans.registry import query, table
@@ -207,7 +209,7 @@ def calls(spark, d) -> DataFrame:
 @query("""SELECT CAST(event_id AS VARCHAR) AS name, event_type, CASE event_id % 10 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS attempts, CASE WHEN event_id % 10 = 0 THEN 'TimeoutError: busy' END AS error,
  CASE WHEN event_id % 10 = 2 THEN 'I cannot say.' WHEN event_id % 10 > 0 THEN event_type END AS answer FROM events""")
 def tag_batch(spark, d):
-    answers = T.tag_batch(calls(spark, d).drop("grounded"), PatternClient, "Tag the picture.", delay=0.0)
+    answers = T.tag_batch(calls(spark, d).drop("grounded"), PatternClient, "Tag the picture.", delay=0.0, in_flight=4)
     from tagflow.functions.responses import parse_model_json
 
     toe = F.try_element_at(parse_model_json(F.col("raw")), F.lit("toe_shape"))
@@ -217,11 +219,39 @@ def tag_batch(spark, d):
 @query("""SELECT CAST(event_id AS VARCHAR) AS name, CASE WHEN event_id % 10 IN (0, 2) THEN '' ELSE CASE WHEN event_id % 2 = 0 THEN 'With tags:' ELSE 'Without:' END || ' ' || event_type END AS description,
  event_id % 2 = 0 AS grounded, 'v3' AS prompt_version FROM events""")
 def describe_batch(spark, d):
-    return T.describe_batch(calls(spark, d), PatternClient, F.lit("With tags:"), F.lit("Without:"), "v3", delay=0.0)
+    return T.describe_batch(calls(spark, d), PatternClient, F.lit("With tags:"), F.lit("Without:"), "v3", delay=0.0, in_flight=4)
 
 
 @query("""SELECT CAST(event_id AS VARCHAR) AS name, CASE WHEN event_id % 10 NOT IN (0, 2) THEN 'heel ' || event_type END AS heel_name, CASE WHEN event_id % 10 NOT IN (0, 2) THEN event_type || '|heel' END AS heel_alternative_names,
  NULL::VARCHAR AS toe_name FROM events""")
 def probe_batch(spark, d):
-    found = T.probe_batch(calls(spark, d), PatternClient, "heel", delay=0.0)
+    found = T.probe_batch(calls(spark, d), PatternClient, "heel", delay=0.0, in_flight=4)
     return found.select("name", "heel_name", F.array_join("heel_alternative_names", "|").alias("heel_alternative_names"), "toe_name")
+
+
+class NoClient:
+    """Stands where no call may be made."""
+
+    def __call__(self, row: dict, prompt: str) -> str:
+        raise AssertionError("a call that was paid for is made again")
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS name, CASE event_id % 10 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS attempts, event_id % 10 = 0 AS failed FROM events""")
+def tag_batch_journal(spark, d):
+    """Tags with a journal, then once more without a client: all answers, failed ones too, come from the journal."""
+    journal = Journal(place(spark, "journal"), buckets=64, every=500)
+    rows = calls(spark, d).select("name", "event_type")
+    T.tag_batch(rows, PatternClient, "Tag the picture.", delay=0.0, in_flight=4, journal=journal).write.format("noop").mode("overwrite").save()
+    again = T.tag_batch(rows, NoClient, "Tag the picture.", attempts=1, journal=journal)
+    return again.select("name", "attempts", F.col("raw").isNull().alias("failed"))
+
+
+@query("SELECT count(DISTINCT event_type) AS prompts, count(*) AS answers, count(DISTINCT event_id) AS names FROM events")
+def read_journal(spark, d):
+    """A journal by itself: each key, of name and prompt, once."""
+    journal = Journal(place(spark, "journal"), buckets=64, every=500)
+    rows = calls(spark, d)
+    twice = rows.unionByName(rows)  # repeated rows are asked for once
+    call_batch(twice, PatternClient, F.col("event_type"), delay=0.0, in_flight=4, journal=journal).write.format("noop").mode("overwrite").save()
+    kept = journal_rows(spark, journal)
+    return kept.join(rows.select("name", "event_type"), "name").agg(F.count_distinct("event_type").alias("prompts"), F.count_distinct("key").alias("answers"), F.count_distinct("name").alias("names"))
