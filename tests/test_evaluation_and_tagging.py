@@ -1,4 +1,6 @@
+import hashlib
 import math
+import re
 
 import numpy as np
 import pytest
@@ -187,6 +189,41 @@ def test_splits_keep_rows_with_null_labels_and_names(spark):
     assert sum(r.split == "val" for r in S.random_split(df).collect()) == 10 and S.random_split(df).count() == 50
 
 
+def by_rank(rows, frac, seed=42):
+    """Of rows (name, label), how many of each class are val by largest remainder, and which by rank of md5."""
+    order = lambda n: ("" if n is None else hashlib.md5(f"{seed}|{n}".encode()).hexdigest(), n or "")
+    classes = sorted({x for _, x in rows}, key=lambda x: (x is not None, x))
+    want = -(-len(rows) * round(frac * 100) // 100)
+    exact = {c: want * sum(x == c for _, x in rows) / len(rows) for c in classes}
+    quota = {c: int(exact[c]) for c in classes}
+    for c in sorted(classes, key=lambda c: (-round(exact[c] - quota[c], 9), classes.index(c)))[: want - sum(quota.values())]:
+        quota[c] += 1
+    return {c: [order(n) for n in sorted((n for n, x in rows if x == c), key=order)[: quota[c]]] for c in classes}
+
+
+@pytest.mark.parametrize("cell", [3, 10_000])
+def test_split_cuts_equal_ranks(spark, monkeypatch, cell):
+    monkeypatch.setattr(S, "CELL_ROWS", cell)  # several rounds of digits
+    rows = [(f"n{i}" if i % 13 else None, ["a", "b", None, "a", "a"][i % 5]) for i in range(400)] + [("twin", "b")] * 150 + [("one", "c")]
+    df = spark.createDataFrame(rows, "name string, label string").repartition(5)
+    order = lambda n: ("" if n is None else hashlib.md5(f"42|{n}".encode()).hexdigest(), n or "")
+    for frac in (0.0, 0.2, 0.5):
+        got = S.stratified_split(df, "label", frac).collect()
+        assert sorted(((r.name, r.label) for r in got), key=repr) == sorted(rows, key=repr)
+        for label, names in by_rank(rows, frac).items():
+            assert sorted(order(r.name) for r in got if r.label == label and r.split == "val") == names
+        flat = S.random_split(df, frac).collect()
+        names = sorted(order(n) for n, _ in rows)[: -(-len(rows) * round(frac * 100) // 100)]
+        assert len(flat) == len(rows) and sorted(order(r.name) for r in flat if r.split == "val") == names
+
+
+def test_splits_do_not_shuffle_rows(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("name"), (F.col("id") % 3).cast("string").alias("label"))
+    for out in (S.random_split(df), S.stratified_split(df, "label")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"(?<!Broadcast)Exchange|Sort|Window", plan), plan
+
+
 def test_scratch_on_a_cluster_needs_a_shared_folder():
     from types import SimpleNamespace
 
