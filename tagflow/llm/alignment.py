@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tagflow.llm.shared import discard, text_batches, written
 from tagflow.llm.words import slices, text_bytes
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 STEP = 1 << 16  # bytes encoded in one call
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[33:127] = True
