@@ -431,6 +431,62 @@ def fit_head_separable(spark, d):
     return scored.groupBy("split").agg(F.count("*").alias("n"), (F.avg((F.col("prediction") == F.col("label")).cast("double")) >= 0.8).alias("accurate"))
 
 
+KINDS = ("click", "error", "purchase", "signup", "view")
+MULTI = ("large", "third", "even")
+_own = "SELECT event_type, CAST(value > 50 AS INTEGER) AS large, CAST(user_id % 3 = 0 AS INTEGER) AS third, CAST(event_id % 2 = 0 AS INTEGER) AS even FROM events"
+
+
+def grouped_rows(spark, d):
+    """Events as vectors that name their type, with attributes."""
+    events = table(spark, d, "events")
+    flags = {"large": F.col("value") > 50, "third": F.col("user_id") % 3 == 0, "even": F.col("event_id") % 2 == 0}
+    own = F.filter(F.array(*[F.when(f, F.lit(a)) for a, f in flags.items()]), lambda x: x.isNotNull())
+    return events.select("event_id", "event_type", F.array(*[(F.col("event_type") == k).cast("double") for k in KINDS]).alias("features"), own.alias("labels"))
+
+
+# the best head on vectors that name a group gives each group its weighted share of positives, which SQL can count
+_parts = "WITH e AS (" + _own + "), x AS (" + " UNION ALL ".join(f"SELECT event_type, '{a}' AS attr, {a} AS y FROM e" for a in MULTI) + "), w AS (SELECT attr, (count(*) - sum(y)) / sum(y) AS w FROM x GROUP BY 1), g AS (SELECT event_type, attr, count(*) AS n, sum(y) AS pos FROM x GROUP BY ALL), p AS (SELECT g.*, w, w * pos / (w * pos + n - pos) AS p FROM g JOIN w USING (attr)) "
+
+
+@query(_parts + "SELECT event_type, attr, round(p, 3) AS score FROM p")
+def fit_multi_head(spark, d):
+    """A head of several attributes with positive weights: its scores by group."""
+    data = grouped_rows(spark, d)
+    n = data.count()
+    held = {r.attr: r.f for r in data.select(F.explode("labels").alias("attr")).groupBy("attr").agg(F.count("*").alias("f")).collect()}
+    head = S.fit_multi_head(data, "labels", MULTI, {a: (n - f) / f for a, f in held.items()}, "features", tolerance=1e-9)
+    one = data.groupBy("event_type").agg(F.first("features").alias("features"))
+    cells = F.explode(F.arrays_zip(F.array(*[F.lit(a) for a in MULTI]).alias("attr"), F.col("logits").alias("z")))
+    return S.logits(one, head, "event_type").select("event_type", cells.alias("c")).select("event_type", "c.attr", F.round(R.sigmoid(F.col("c.z")), 3).alias("score"))
+
+
+@query(_parts + ", l AS (SELECT attr, sum(-w * pos * ln(p) - (n - pos) * ln(1 - p)) / sum(n) AS loss FROM p GROUP BY 1) SELECT attr, round(loss, 4) AS loss FROM l")
+def fit_multi_head_loss(spark, d):
+    """The mean loss that the fit reaches, by attribute."""
+    data = grouped_rows(spark, d)
+    n = data.count()
+    held = {r.attr: r.f for r in data.select(F.explode("labels").alias("attr")).groupBy("attr").agg(F.count("*").alias("f")).collect()}
+    weight = {a: (n - f) / f for a, f in held.items()}
+    head = S.fit_multi_head(data, "labels", MULTI, weight, "features")
+    z = S.logits(data.select(F.struct("event_id", "labels").alias("key"), "features"), head, "key").select("key.labels", F.posexplode("logits").alias("i", "z"))
+    attr = F.element_at(F.array(*[F.lit(a) for a in MULTI]), F.col("i") + 1)
+    soft = F.log1p(F.exp(-F.abs("z")))
+    loss = F.when(F.array_contains("labels", F.col("attr")), F.col("w") * (soft + F.greatest(-F.col("z"), F.lit(0.0)))).otherwise(soft + F.greatest("z", F.lit(0.0)))
+    weights = F.element_at(F.create_map(*[x for a in MULTI for x in (F.lit(a), F.lit(weight[a]))]), F.col("attr"))
+    return z.withColumn("attr", attr).withColumn("w", weights).groupBy("attr").agg(F.round(F.avg(loss), 4).alias("loss"))
+
+
+@query("WITH g AS (SELECT event_type AS k, user_id % 3 AS label, count(*) AS n FROM events GROUP BY ALL) SELECT k, CAST(label AS VARCHAR) AS label, round(n / sum(n) OVER (PARTITION BY k), 3) AS prob FROM g")
+def fit_head_shares(spark, d):
+    """A head of one label on vectors that name a group: its probabilities are the group's shares."""
+    data = table(spark, d, "events").select("event_type", F.array(*[(F.col("event_type") == k).cast("double") for k in KINDS]).alias("features"), (F.col("user_id") % 3).cast("string").alias("label"))
+    classes = ["0", "1", "2"]
+    head = S.fit_head(data, "label", classes, column="features", tolerance=1e-12)
+    one = data.groupBy("event_type").agg(F.first("features").alias("features"))
+    cells = F.explode(F.arrays_zip(F.array(*[F.lit(c) for c in classes]).alias("label"), R.softmax(F.col("logits")).alias("p")))
+    return S.logits(one, head, "event_type").select(F.col("event_type").alias("k"), cells.alias("c")).select("k", "c.label", F.round("c.p", 3).alias("prob"))
+
+
 @query("SELECT DISTINCT CAST(doc_id AS VARCHAR) AS name, lang FROM documents")
 def incremental_intake(spark, d):
     """The documents as a stream, each name tagged once; a second run finds nothing new."""

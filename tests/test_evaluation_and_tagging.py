@@ -180,6 +180,55 @@ def test_fit_head_scores_all_and_refuses_too_many_labels(spark, tmp_path):
         fit_head(spark, many)
 
 
+def numpy_fit(x, y, positive, reg, steps=4000):
+    """The same objective by Newton's method for each attribute alone."""
+    x1 = np.hstack([x, np.ones((len(x), 1))])
+    out = np.zeros((x1.shape[1], y.shape[1]))
+    shrink = reg * np.append(np.ones(x.shape[1]), 0.0)
+    for a in range(y.shape[1]):
+        w = np.where(y[:, a] == 1, positive[a], 1.0)
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-x1 @ out[:, a]))
+            gradient = x1.T @ (w * (p - y[:, a])) / len(x) + shrink * out[:, a]
+            hessian = (x1 * (w * p * (1 - p))[:, None]).T @ x1 / len(x) + np.diag(shrink)
+            out[:, a] -= np.linalg.solve(hessian, gradient)
+    return out
+
+
+def test_multi_head_equals_a_numpy_fit(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(300, 5))
+    true = rng.normal(size=(5, 3))
+    y = (x @ true + rng.logistic(size=(300, 3)) - [0, 2, 1] > 0).astype(float)
+    attrs, positive = ["a", "b", "c"], [1.0, 4.0, 0.5]
+    rows = [(i, r.tolist(), [a for a, f in zip(attrs, f_) if f] if i % 50 or f_.any() else None) for i, (r, f_) in enumerate(zip(x, y))]
+    df = spark.createDataFrame([*rows, (999, None, ["a"])], "id long, embedding array<double>, labels array<string>").repartition(6)
+    head = M.fit_multi_head(df, "labels", attrs, dict(zip(attrs, positive)), steps=(0.01,))
+    want = numpy_fit(x, y, positive, 0.01)
+    assert np.abs(np.vstack([head.weights, head.bias]) - want).max() < 1e-3  # the stated tolerance
+    # differences of the loss
+    theta = rng.normal(size=(6, 3))
+    value, slope = M.multi_loss(x, y, np.array(positive), theta)
+    for at in [(0, 0), (3, 1), (5, 2)]:
+        step = np.zeros_like(theta)
+        step[at] = 1e-6
+        assert slope[at] == pytest.approx((M.multi_loss(x, y, np.array(positive), theta + step)[0] - M.multi_loss(x, y, np.array(positive), theta - step)[0]) / 2e-6, rel=1e-4, abs=1e-4)
+    # shrinkage by val, thresholds by the sweep
+    parted = df.withColumn("split", F.when(F.col("id") % 3 == 0, "val").otherwise("train"))
+    chosen = M.fit_multi_head(parted, "labels", attrs, steps=(100.0, 0.01), split="split")
+    assert np.abs(chosen.weights).max() > 0.3  # not the one that shrinks all to nothing
+    found = {r.attr: (r.threshold, r.f1) for r in M.head_thresholds(parted.where("split = 'val' AND embedding IS NOT NULL"), chosen, "labels").collect()}
+    assert set(found) == set(attrs) and all(0.1 <= t <= 0.9 and f > 0.5 for t, f in found.values())
+
+
+def test_multi_head_of_no_rows_and_of_one_kind(spark):
+    df = spark.createDataFrame([([1.0, 2.0], ["a"]), ([0.0, 1.0], ["a"])], "embedding array<double>, labels array<string>")
+    head = M.fit_multi_head(df, "labels", ["a", "b"], steps=(0.1,))
+    z = head(np.array([[1.0, 2.0]]))[0]
+    assert z[0] > 2 and z[1] < -2
+    assert M.fit_multi_head(df.limit(0), "labels", ["a"]).bias.tolist() == [0.0]
+
+
 def test_splits_keep_rows_with_null_labels_and_names(spark):
     rows = [(f"n{i}" if i % 11 else None, "a" if i % 3 else None) for i in range(50)]
     df = spark.createDataFrame(rows, "name string, label string")
