@@ -49,13 +49,13 @@ r AS (SELECT *, 3 * source_size AS lim, 3 * source_size / weight AS ratio FROM z
 y0 AS (SELECT ratio, rank, ((SELECT sum(source_size) FROM z) - lim_before) / ((SELECT sum(weight) FROM z) - w_before) AS level FROM c),
 v AS (SELECT coalesce(arg_min(level, ratio * 1e6 + rank) FILTER (ratio >= level), 1e300) AS level FROM y0),
 t AS (SELECT source, rank, source_size, least(weight * level, lim)::DOUBLE AS target FROM r, v),
-u AS (SELECT source, rank, source_size, target, CAST(round(sum(target) OVER (ORDER BY rank) / (SELECT sum(target) FROM t) * 4398046511104) AS BIGINT) AS high FROM t), y AS (SELECT *, coalesce(lag(high) OVER (ORDER BY rank), 0) AS low FROM u),
-k AS (SELECT i, CAST((i::HUGEINT * 2718142227965) % 4398046511104 AS BIGINT) AS point FROM range(CAST((SELECT round(sum(target) / 32) FROM t) AS BIGINT)) q(i)),
-e AS (SELECT rank, row_number() OVER (PARTITION BY rank ORDER BY i) - 1 AS n, CAST(ceil(source_size / 32) AS BIGINT) AS blocks FROM k JOIN y ON point >= low AND point < high WHERE target > 0),
-x AS (SELECT rank, n % blocks AS block, count(*) AS times FROM e WHERE n < 3 * blocks GROUP BY ALL),
+b AS (SELECT *, CAST(ceil(source_size / 32) AS BIGINT) AS blocks FROM t), c2 AS (SELECT *, CAST(ceil(source_size / greatest(blocks, 1)) AS BIGINT) AS words, floor(target / nullif(source_size, 0)) AS passes FROM b),
+s AS (SELECT *, CASE WHEN source_size > 0 THEN passes * blocks + least(blocks, (target - passes * source_size) / words) ELSE 0 END AS share FROM c2),
+u AS (SELECT *, CAST(round(sum(share) OVER (ORDER BY rank) / (SELECT sum(share) FROM s) * round((SELECT sum(share) FROM s))) AS BIGINT) AS high FROM s), y AS (SELECT *, high - coalesce(lag(high) OVER (ORDER BY rank), 0) AS slots FROM u),
+e AS (SELECT rank, unnest(range(least(slots, 3 * blocks))) % blocks AS block FROM y WHERE share > 0), x AS (SELECT rank, block, count(*) AS times FROM e GROUP BY ALL),
 f AS (SELECT d.*, rank, z.source_size, CAST(sum(size) OVER (PARTITION BY rank ORDER BY key, size, doc_id ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS first FROM d JOIN z ON d.source IS NOT DISTINCT FROM z.source),
-j AS (SELECT rank, first, size, unnest(range(first // 32, (first + size - 1) // 32 + 1)) AS block FROM f WHERE size > 0),
-g AS (SELECT rank, first, sum((least(first + size, (block + 1) * 32) - greatest(first, block * 32)) * times) AS taken FROM j JOIN x USING (rank, block) GROUP BY 1, 2)
+j AS (SELECT f.rank, first, size, words, unnest(range(first // words, (first + size - 1) // words + 1)) AS block FROM f JOIN s USING (rank) WHERE size > 0),
+g AS (SELECT rank, first, sum((least(first + size, (block + 1) * words) - greatest(first, block * words)) * times) AS taken FROM j JOIN x USING (rank, block) GROUP BY 1, 2)
 SELECT f.doc_id, f.size, CAST(f.source_size AS BIGINT) AS source_size, round(target, 6) AS target, CASE WHEN f.size > 0 THEN CAST(coalesce(taken, 0) AS BIGINT) ELSE 0 END AS taken FROM f JOIN t USING (rank) LEFT JOIN g ON f.rank = g.rank AND f.first = g.first AND f.size > 0"""
 
 COLLOCATIONS = f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),

@@ -32,7 +32,9 @@ def copies(df: DataFrame, number: str, block: int = 4096) -> DataFrame:
     """Each row of df as often as its column number says, with the column copy from 0; numbers of any size, in blocks."""
     blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(number) - 1) / block)))
     inside = F.explode(F.sequence(F.col("__block") * block, F.least((F.col("__block") + 1) * block, F.col(number)) - 1))
-    return df.where(F.col(number) > 0).withColumn("__block", blocks).withColumn("copy", inside).drop("__block")
+    # the blocks of a row of very many copies are dealt to all tasks; a number keeps them from being put together by their bytes
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.where(F.col(number) > 0).withColumn("__block", blocks).repartition(tasks).withColumn("copy", inside).drop("__block")
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:

@@ -1,13 +1,17 @@
 """Mixing sources to target weights with a low-discrepancy schedule, in DataFrame functions alone.
 
 Each source's documents are shuffled by a hash and laid end to end; the words of that stream
-are cut into blocks of equally many. A schedule deals slots to sources: slot k goes to the
-source in whose share of the targets the k-th golden-ratio point falls. A slot's rank
-among its source's slots names the block it takes, over and over from the first.
+are cut into blocks of equally many, all but the last. A schedule deals slots to sources: slot k goes to the
+source in whose share of all slots the k-th golden-ratio point falls. A slot's rank
+among its source's slots names the block it takes, over and over from the first. A source's share is as many slots as its blocks need to reach
+its target, whatever their size. The points are the multiples of a golden number modulo their count,
+so each whole number below it is a point once, and a source gets its share to one slot.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -17,8 +21,7 @@ from tagflow.llm.shared import copies, written
 from tagflow.operators.joins import join_same
 from tagflow.operators.ranking import earlier_sums
 
-POINTS = 1 << 42
-GOLDEN = 2718142227965  # the golden ratio's fraction of POINTS; it is odd, so points repeat only after POINTS slots
+GOLDEN = 2718142227965  # the golden ratio's fraction of 2**42
 MOST_TIMES = 3  # what a document may at most be taken
 LANE_ROWS = 50_000  # about so many documents are laid end to end on their own
 CHUNK = 1 << 16  # slots whose ranks are counted together
@@ -55,29 +58,46 @@ def fill(sources: DataFrame, most_times: int = MOST_TIMES) -> DataFrame:
     return sources.withColumn("target", limit.cast("double") if settled is None else F.least(F.col("weight") * F.lit(settled), limit.cast("double")))
 
 
-def schedule(targets: DataFrame, block_words: int, slots: int | None = None) -> DataFrame:
-    """Blocks to take: source, block (from 0), times. targets: source, rank, source_size, target.
+def cut_blocks(targets: DataFrame, block_words: int) -> DataFrame:
+    """targets(source_size, target) with blocks, how many a source's words are cut into; words, of a block but the last; share, the slots that take the target.
+
+    All blocks of a source once are its size; what the target has beyond that is in blocks of words.
+    """
+    blocks = F.ceil(F.col("source_size") / F.lit(block_words))
+    cut = targets.withColumn("blocks", blocks).withColumn("words", F.greatest(F.ceil(F.col("source_size") / F.greatest("blocks", F.lit(1))), F.lit(1)))
+    passes = F.floor(F.col("target") / F.col("source_size"))
+    share = passes * F.col("blocks") + F.least(F.col("blocks"), (F.col("target") - passes * F.col("source_size")) / F.col("words"))
+    return cut.withColumn("share", F.when(F.col("source_size") > 0, share).otherwise(0.0))
+
 
-    Slot k belongs to the source whose part of the cumulative targets holds the k-th point of
+def golden_step(n: int) -> int:
+    """A number near n times the golden ratio's fraction without a common divisor with n: its multiples modulo n are all numbers below n."""
+    near = n * GOLDEN >> 42
+    return next(near + d for k in range(n + 1) for d in (-k, k) if math.gcd(near + d, n) == 1)
+
+
+def schedule(targets: DataFrame, slots: int | None = None) -> DataFrame:
+    """Blocks to take: source, block (from 0), times. targets: source, rank, blocks, share.
+
+    Slot k belongs to the source whose part of the cumulative shares holds the k-th point of
     the golden-ratio sequence; the r-th slot of a source takes block r modulo its blocks. Points and
-    parts are whole numbers below POINTS, so that slots of any number are dealt exactly.
+    parts are whole numbers below the number of slots, so that slots of any number are dealt exactly.
     """
     spark = targets.sparkSession
-    total, n_sources = targets.agg(F.sum("target"), F.count("*")).first()
-    n = int(round((total or 0.0) / block_words)) if slots is None else slots
+    total, n_sources = targets.agg(F.sum("share"), F.count("*")).first()
+    n = int(round(total or 0.0)) if slots is None else slots
     if not total or not n:
         return spark.createDataFrame([], "source string, block long, times long")
-    cells = 1 << min(20, max(10, (4 * n_sources).bit_length()))
     # a slot looks for its source among those of its cell, an equal part of all points
-    bound = lambda x: F.round(x / F.lit(total) * POINTS).cast("long")
-    spans = earlier_sums(targets, ["rank"], {"upto": F.col("target")}).where("target > 0").select(
-        "source", "rank", "source_size", bound(F.col("upto")).alias("low"), bound(F.col("upto") + F.col("target")).alias("high"))
-    width = POINTS // cells
+    width = -(-n // min(n, 1 << min(20, max(10, (4 * n_sources).bit_length()))))
+    bound = lambda x: F.round(x / F.lit(total) * n).cast("long")
+    spans = earlier_sums(targets, ["rank"], {"upto": F.col("share")}).where("share > 0").select(
+        "source", "rank", "blocks", bound(F.col("upto")).alias("low"), bound(F.col("upto") + F.col("share")).alias("high"))
     in_cells = spans.where("high > low").withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))))
-    points = spark.range(n).select("id", golden_point(F.col("id")).alias("point")).withColumn("cell", F.floor(F.col("point") / width))
-    dealt = points.join(in_cells, "cell").where("point >= low AND point < high").select("id", "source", "source_size", F.floor(F.col("id") / CHUNK).alias("chunk"))
+    points = spark.range(n).select("id", golden_point(F.col("id"), n).alias("point")).withColumn("cell", F.floor(F.col("point") / width))
+    dealt = points.join(in_cells, "cell").where("point >= low AND point < high").select("id", "source", "blocks", F.floor(F.col("id") / CHUNK).alias("chunk"))
     # the rank of a slot: the source's slots in earlier chunks, and its place in its chunk
-    per_chunk = written(dealt.groupBy("source", "source_size", "chunk").agg(F.count("*").alias("c")), "slot_chunks")
+    per_chunk = written(dealt.groupBy("source", "chunk").agg(F.count("*").alias("c")), "slot_chunks")
     # chunks by thousands, so that no task has all chunks of a source
     far, near = F.floor(F.col("chunk") / CHUNKS), W.partitionBy("source", "far").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     fars = per_chunk.groupBy("source", far.alias("far")).agg(F.sum("c").alias("c"))
@@ -85,15 +105,15 @@ def schedule(targets: DataFrame, block_words: int, slots: int | None = None) ->
     begun = fars.select("source", "far", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("begun"))
     starts = join_same(per_chunk.withColumn("far", far), begun, ["source", "far"]).select("source", "chunk", (F.col("begun") + F.coalesce(F.sum("c").over(near), F.lit(0))).alias("start"))
     ranked = join_same(dealt.withColumn("place", F.row_number().over(W.partitionBy("source", "chunk").orderBy("id")) - 1), starts, ["source", "chunk"])
-    blocks = F.ceil(F.col("source_size") / F.lit(block_words))
-    slot_rank = F.col("start") + F.col("place")
+    slot_rank, blocks = F.col("start") + F.col("place"), F.col("blocks")
     return ranked.where(slot_rank < MOST_TIMES * blocks).select("source", F.pmod(slot_rank, blocks).alias("block")).groupBy("source", "block").agg(F.count("*").alias("times"))
 
 
-def golden_point(k: Column) -> Column:
-    """k * GOLDEN modulo POINTS without overflow, for k below 2**41: the low and the high 20 bits of k apart."""
-    low, high = F.pmod(k, F.lit(1 << 20)), F.floor(k / F.lit(1 << 20))
-    return F.pmod(low * F.lit(GOLDEN) % POINTS + high * F.lit((GOLDEN << 20) % POINTS) % POINTS, F.lit(POINTS))
+def golden_point(k: Column, n: int) -> Column:
+    """k * golden_step(n) modulo n without overflow, for n up to 2**43: the digits of k to the base 2**20 apart."""
+    step = golden_step(n)
+    digits = [F.pmod(F.shiftright(k, 20 * i), F.lit(1 << 20)) * F.lit((step << (20 * i)) % n) % n for i in range(3 if n > 1 << 40 else 2)]
+    return F.pmod(sum(digits[1:], digits[0]), F.lit(n))
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
@@ -106,8 +126,8 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), block_words: in
 
     size: words of the text (null: 0). target: its source's. taken: words of it in the blocks
     that the schedule takes, repeats counted, at most three times its size; a text without
-    words takes part with 0. Of each source about its target is taken: to a few blocks of
-    block_words words. Equal rows are dealt alike in any order; a rerun gives the same
+    words takes part with 0. Of each source its target is taken to one and a half blocks
+    at most; a block has at most block_words words, and no more than the source. Equal rows are dealt alike in any order; a rerun gives the same
     result. A source without words has target 0. Other columns are ignored.
     """
     return _dealt(docs, weights, block_words).select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -124,7 +144,7 @@ def _dealt(docs: DataFrame, weights: tuple[int, ...], block_words: int) -> DataF
     sized = made.withColumn("lane", F.substring("key", 1, digits))
     per_lane = written(sized.groupBy("source", "lane").agg(F.sum("all").alias("words")), "lanes")
     sources = per_lane.groupBy("source").agg(F.sum("words").alias("source_size"))
-    targets = written(fill(written(weighted(sources, weights), "weighted")), "targets")
+    targets = written(cut_blocks(fill(written(weighted(sources, weights), "weighted")), block_words), "targets")
     # lanes by their first two digits, so that no task has all lanes of a source
     before = lambda *keys: W.partitionBy(*keys).orderBy("lane").rowsBetween(W.unboundedPreceding, -1)
     head = F.substring("lane", 1, 2)
@@ -135,10 +155,11 @@ def _dealt(docs: DataFrame, weights: tuple[int, ...], block_words: int) -> DataF
     placed = join_same(sized.withColumn("within", within), offsets.select("source", "lane", "start"), ["source", "lane"])
     first = F.col("start") + F.col("within") + F.col("copy") * F.col("size")
     streams = written(copies(placed, "n").select("doc_id", "source", "size", "key", first.alias("first")), "streams")
-    pieces = streams.where("size > 0").select(
-        "doc_id", "source", "size", "first", F.explode(F.sequence(F.floor(F.col("first") / block_words), F.floor((F.col("first") + F.col("size") - 1) / block_words))).alias("block"))
-    words_in = F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("first"), F.col("block") * block_words)
-    taken = join_same(pieces, schedule(targets, block_words), ["source", "block"]).groupBy("source", "first").agg(F.sum(words_in * F.col("times")).alias("taken"))
+    end = F.col("first") + F.col("size")
+    pieces = join_same(streams.where("size > 0"), targets.select("source", "words"), ["source"]).withColumn(
+        "block", F.explode(F.sequence(F.floor(F.col("first") / F.col("words")), F.floor((end - 1) / F.col("words")))))
+    words_in = F.least(end, (F.col("block") + 1) * F.col("words")) - F.greatest("first", F.col("block") * F.col("words"))
+    taken = join_same(pieces, schedule(targets), ["source", "block"]).groupBy("source", "first").agg(F.sum(words_in * F.col("times")).alias("taken"))
     # a place in a source's stream names the document that begins there, if it has words
     with_taken = join_same(streams.where("size > 0"), taken, ["source", "first"], how="left").select("doc_id", "source", "size", "key", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     every = with_taken.unionByName(streams.where("size = 0").select("doc_id", "source", "size", "key", F.lit(0).cast("long").alias("taken")))
