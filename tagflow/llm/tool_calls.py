@@ -12,11 +12,12 @@ import json
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tagflow.llm.shared import discard, written
+from tagflow.operators.joins import join_same
 from tagflow.operators.ranking import place_in
 
 
@@ -34,11 +35,18 @@ CHAT_TOOLS = {"reply": Tool({"prompt": "string", "system": "string", "turn": "in
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
 
 
+def _no_json(name: str) -> None:
+    raise ValueError(f"{name} is no JSON")
+
+
 def parsed(arguments: str | None) -> tuple[bool, object]:
-    """(whether the text is JSON, its value or the text as it is)."""
+    """(whether the text is JSON, its value or the text as it is). What cannot be written again as JSON in UTF-8 is none: NaN and infinite numbers,
+    halves of surrogate pairs, brackets nested too deep."""
     try:
-        return True, json.loads(arguments or "")
-    except ValueError:
+        value = json.loads(arguments or "", parse_constant=_no_json)
+        canonical(value).encode()
+        return True, value
+    except (ValueError, RecursionError):
         return False, arguments
 
 
@@ -64,7 +72,7 @@ def argument_error(tools: dict[str, Tool], name: str | None, valid: bool, given:
 
 
 def canonical(value: object) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
 ID = ["conv_id", "call_id"]
@@ -129,14 +137,33 @@ def linked_calls(calls: DataFrame, results: DataFrame, tools: dict[str, Tool]) -
         F.when(F.col("depth").isNull(), "cycle").otherwise(F.col("r.error")).alias("error"), F.col("r.json").alias("json"))
 
 
+def role_place() -> Column:
+    """The order of the roles in a turn; null for other roles."""
+    place = F.array_position(F.array(*[F.lit(x) for x in ("system", "user", "tool", "assistant")]), F.col("role"))
+    return F.when(place > 0, place - 1)
+
+
+def turns_without_call(conversations: DataFrame) -> DataFrame:
+    """The rows that chat_calls() leaves out, with a reason: no conversation, no turn, other role, repeated (another text of its turn and role
+    stands), before the first user turn (assistant and tool), after the last (system), no user turn."""
+    users = conversations.where("role = 'user' AND turn IS NOT NULL AND conv_id IS NOT NULL").groupBy("conv_id").agg(F.min("turn").alias("__low"), F.max("turn").alias("__high"))
+    least = conversations.groupBy("conv_id", "turn", "role").agg(F.min("text").alias("__least"), F.count("*").alias("__n"))
+    marked = join_same(join_same(conversations, users, ["conv_id"], how="left"), least, ["conv_id", "turn", "role"], how="left")
+    answer, place = F.col("role").isin("assistant", "tool"), role_place()
+    reason = (
+        F.when(F.col("conv_id").isNull(), "no conversation").when(F.col("turn").isNull(), "no turn").when(place.isNull(), "other role")
+        .when(~F.col("text").eqNullSafe(F.col("__least")), "repeated").when(F.col("__low").isNull(), "no user turn")
+        .when(answer & (F.col("turn") < F.col("__low")), "before the first user turn").when((F.col("role") == "system") & (F.col("turn") > F.col("__high")), "after the last user turn"))
+    return marked.withColumn("reason", reason).where("reason IS NOT NULL").select(*conversations.columns, "reason")
+
+
 def chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(calls, results) of plain chats: each user turn is a call, which waits for the user turn before it; the
-    assistant turns that follow it, up to the next user turn, are its result, and the system turns before it,
+    assistant and tool turns that follow it, up to the next user turn, are its result, and the system turns before it,
     from the user turn before on, an argument: their texts in order, one line break between. What comes before and
-    after goes by turn, gaps or not; in one turn by role: system, user, assistant. Several texts of
-    one turn and role: the least. Left out, as they belong to no call: assistant turns before the first user turn,
-    system turns after the last, other roles (tool), null turns and roles."""
-    place = F.when(F.col("role") == "system", 0).when(F.col("role") == "user", 1).when(F.col("role") == "assistant", 2)
+    after goes by turn, gaps or not; in one turn by role: system, user, tool, assistant. Several texts of
+    one turn and role: the least. Left out, as they belong to no call, are what turns_without_call() gives."""
+    place = role_place()
     turns = conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL").where(place.isNotNull()).groupBy("conv_id", "turn", "role").agg(F.min("text").alias("text"))
     named = lambda turn: F.concat(F.lit("turn-"), turn.cast("string"))
     # last: the user turn before; number: how many there are. They are sought among the user turns in one range of turns, and
@@ -150,12 +177,12 @@ def chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     inside = earlier("part", ["turn", "place"])
     linked = written(
         ranged.withColumn("own", F.last(user, ignorenulls=True).over(inside)).withColumn("count", F.count(user).over(inside)).join(carried, ["conv_id", "part"])
-        .select("conv_id", "turn", "role", "text", F.coalesce("own", "top").alias("last"), (F.col("count") + F.col("users")).alias("number")), "turns")
-    lines = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("turn", "text"))))
+        .select("conv_id", "turn", "place", "role", "text", F.coalesce("own", "top").alias("last"), (F.col("count") + F.col("users")).alias("number")), "turns")
+    lines = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("turn", "place", "text"))))
     joined = F.when(F.size(lines) > 0, F.array_join(F.transform(lines, lambda x: x["text"]), "\n"))
     system = linked.where("role = 'system'").groupBy("conv_id", "number").agg(joined.alias("system"))
     arguments = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("prompt"), F.col("system"), F.col("turn")))
     calls = linked.where("role = 'user'").join(system.hint("shuffle_hash"), ["conv_id", "number"], "left").select(
         "conv_id", named(F.col("turn")).alias("call_id"), named(F.col("last")).alias("after"), "turn", F.lit("reply").alias("name"), arguments.alias("arguments"))
-    results = linked.where("role = 'assistant' AND last IS NOT NULL").groupBy("conv_id", "last").agg(joined.alias("content"))
+    results = linked.where("role IN ('assistant', 'tool') AND last IS NOT NULL").groupBy("conv_id", "last").agg(joined.alias("content"))
     return calls, results.select("conv_id", named(F.col("last")).alias("call_id"), "content")

@@ -174,7 +174,7 @@ def test_calls_with_several_predecessors(spark):
 
 def brute_chats(turns):
     """conv -> list of (user turn, prompt, system, result), by a plain loop over the turns in order."""
-    rank = {"system": 0, "user": 1, "assistant": 2}
+    rank = {"system": 0, "user": 1, "tool": 2, "assistant": 3}
     texts = {}
     for c, t, role, text in turns:
         if c is not None and t is not None and role in rank:
@@ -225,5 +225,31 @@ def test_chats_with_gaps_and_turns_in_a_row(spark):
     rows = {(r.conv_id, r.call_id): (r.depth, r.position, r.error, json.loads(r.json)) for r in linked_calls(*chat_calls(df.repartition(3)), CHAT_TOOLS).collect()}
     got = {k: (d, p, e, j["arguments"].get("system"), j["arguments"]["prompt"], j.get("result", "none")) for k, (d, p, e, j) in rows.items()}
     assert got == {
-        (1, "turn-9"): (0, 0, None, "s1\ns2", "a", "x\ny"), (1, "turn-17"): (1, 1, None, None, "b", "none"), (1, "turn-30"): (2, 2, None, None, "c", "z"),
+        (1, "turn-9"): (0, 0, None, "s1\ns2", "a", "t\nx\ny"), (1, "turn-17"): (1, 1, None, None, "b", "none"), (1, "turn-30"): (2, 2, None, None, "c", "z"),
         (1, "turn-41"): (3, 3, None, "s3", "d", "none"), (2, "turn-0"): (0, 0, None, "s", "p", "q"), (2, "turn-1"): (1, 1, None, None, "r", None)}
+
+
+def test_arguments_that_are_no_json_in_utf8_kill_no_task(spark):
+    texts = [r'{"a":"\ud800"}', "[" * 100_000, '{"a":' * 5000 + "1" + "}" * 5000, '{"a":NaN}', '{"a":1e999}', '{"a":-Infinity}', "9" * 5000, None, "", r'{"a":"\ud83d\ude00"}']
+    calls = spark.createDataFrame([("c", f"k{i}", None, i, "reply", t) for i, t in enumerate(texts)], "conv_id string, call_id string, after string, turn long, name string, arguments string")
+    out = {r.call_id: r for r in linked_calls(calls, spark.createDataFrame([], "conv_id string, call_id string, content string"), CHAT_TOOLS).collect()}
+    assert len(out) == len(texts)
+    for i, t in enumerate(texts[:-1]):
+        assert out[f"k{i}"].error == "arguments are not JSON" and json.loads(out[f"k{i}"].json)["arguments"] == t
+    assert json.loads(out["k9"].json)["arguments"] == {"a": "\U0001f600"} and out["k9"].error == "missing prompt"
+
+
+def test_turns_without_a_call_are_given_with_a_reason(spark):
+    from tagflow.llm.tool_calls import turns_without_call
+
+    turns = [
+        (1, 0, "assistant", "early"), (1, 1, "tool", "early too"), (1, 2, "system", "s"), (1, 3, "user", "u"), (1, 4, "tool", "t"), (1, 5, "system", "late"), (2, 0, "assistant", "alone"), (None, 0, "user", "x"),
+        (1, None, "user", "x"), (1, 6, "judge", "x"), (1, 7, None, "x"), (1, 3, "user", "v"), (1, 3, "user", "u"), (1, 4, "tool", None)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn, r.role, r.text): r.reason for r in turns_without_call(df).collect()}
+    assert got == {
+        (1, 0, "assistant", "early"): "before the first user turn", (1, 1, "tool", "early too"): "before the first user turn", (1, 5, "system", "late"): "after the last user turn",
+        (2, 0, "assistant", "alone"): "no user turn", (None, 0, "user", "x"): "no conversation", (1, None, "user", "x"): "no turn", (1, 6, "judge", "x"): "other role", (1, 7, None, "x"): "other role",
+        (1, 3, "user", "v"): "repeated", (1, 4, "tool", None): "repeated"}
+    out = linked_calls(*chat_calls(df), CHAT_TOOLS).collect()
+    assert [json.loads(r.json).get("result") for r in out] == ["t"]
