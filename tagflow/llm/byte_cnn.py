@@ -160,11 +160,14 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, rows_each: int =
     whole texts of any length, until there are rows_each or the next would make more than bytes_each
     bytes. The sample is trained on in one task.
 
-    Labels other than 0 and 1, and null ones, are left out; of several labels of one document
+    Labels other than 0 and 1, null ones, and those of documents that are not in docs are left out; of several labels of one document
     the largest counts, of several texts the shortest and least. Without labels the model gives 0.5,
-    with one label only that label. If a label has documents but each is longer than bytes_each, that is an error.
+    with one label only that label. If a label has documents but each is longer than bytes_each, that is an error, as it is
+    if there are labels of both kinds but docs holds documents of one only.
     """
-    usable = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(may_learn).groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
+    every = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(may_learn).groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
+    # labels of documents that are not here would fill the sample
+    usable = every.join(docs.select("doc_id"), "doc_id", "left_semi")
     order = F.xxhash64("doc_id")
     picks = written(usable.where("label = 0").orderBy(order).limit(2 * rows_each).union(usable.where("label = 1").orderBy(order).limit(2 * rows_each)), "picks")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -176,6 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, rows_each: int =
     labels_of = lambda df: {r.label for r in df.select("label").distinct().collect()}
     if none := labels_of(lengths) - labels_of(chosen):
         raise ValueError(f"no document of label {min(none)} fits a sample of {bytes_each} bytes")
+    if len(labels_of(lengths)) == 1 and len(labels_of(every)) == 2:
+        raise ValueError("there are labels of both kinds, but all of one kind are of other documents")
     texts = text_batches(docs).select("doc_id", "text", size.alias("size")).join(F.broadcast(chosen), ["doc_id", "size"])
     got = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 

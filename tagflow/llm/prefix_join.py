@@ -377,7 +377,7 @@ def _verify(percent: int):
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """docs without near copies: of each component the rows of its least doc_id stay.
 
-    Of equal texts of one doc_id the row stays that is least in its other columns; different texts of one
+    Of equal texts of one doc_id the row stays whose other columns, as JSON, are least; different texts of one
     doc_id are one document and stay all. Documents with a null doc_id stay: they link with nothing.
     """
     found = jaccard_components(docs, width, percent)
@@ -387,7 +387,8 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     plain = doubtful.join(named, F.col("doc_id") == F.col("__id"), "left_anti")
     again = doubtful.join(named.where("NOT __gone").select("__id"), F.col("doc_id") == F.col("__id"), "left_semi")
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    once = again.groupBy("doc_id", "text").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__r") if rest else F.count("*").alias("__r"))
+    others_of = F.struct(*[F.col(f"`{c}`") for c in rest])  # JSON, unlike the struct, has an order whatever the columns' types
+    once = again.groupBy("doc_id", "text").agg(F.min_by(others_of, F.to_json(others_of)).alias("__r") if rest else F.count("*").alias("__r"))
     once = once.select(*[F.col(f"__r.`{c}`").alias(c) if c in rest else F.col(c) for c in docs.columns])
     return others.unionByName(plain).unionByName(once)
 

@@ -319,3 +319,14 @@ def test_language_counts_of_many_languages(spark):
     assert len(langs) == 300 and matrix.shape == (language_id.CELLS, 300)
     with pytest.raises(ValueError, match="more than 299"):
         language_id.fit(docs, F.lit(True), 299)
+
+
+def test_cnn_learns_from_labels_of_documents_that_are_here(spark):
+    rng = random.Random(31)
+    texts = [(i, make_text(rng, 30) if i % 2 else "### $$$ %%% " * 20) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1000 + i, i % 2) for i in range(3000)], "doc_id long, quality int")
+    out = {r.doc_id: r.score for r in byte_cnn.quality_scores(docs, labels, F.lit(False), rows_each=30).collect()}
+    assert min(out[i] for i in range(1, 40, 2)) > max(out[i] for i in range(0, 40, 2))
+    with pytest.raises(ValueError, match="labels of both kinds"):
+        byte_cnn.quality_scores(docs.where("doc_id % 2 = 1"), labels, F.lit(False))

@@ -100,3 +100,9 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(900, 901), (None, 5), (7, 7)], "a long, b long")
     out = {r.node: r.component for r in components(links).collect()}
     assert out == {i: 0 for i in range(201)} | {900: 900, 901: 900}
+
+
+def test_keep_one_with_columns_that_have_no_order(spark):
+    rows = [(1, "a b c d e f g", {"k": 2}, "x"), (1, "a b c d e f g", {"k": 1}, "y"), (2, "other words here now", None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, `a.b` string")
+    assert sorted((r.doc_id, r.tags, r["a.b"]) for r in keep_one(docs).collect()) == [(1, {"k": 1}, "y"), (2, None, "z")]
