@@ -10,7 +10,7 @@ import json
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tagflow.functions import annotations as A
@@ -24,7 +24,8 @@ from tagflow.plans.evaluation_queries import ATTRS, LONG, scores_long
 from tagflow.plans.label_queries import FLAGS, TAGS, tags
 from tagflow.plans.registry import query, table
 from tagflow.sources import tables as B
-from tagflow.sources.catalog import image_catalog, read_images
+from tagflow.sources.catalog import IMAGE_COUNTS, image_catalog, read_images
+from tagflow.sources.listing import list_files as files_below
 from tagflow.sources.scratch import shared_dir
 
 
@@ -99,15 +100,20 @@ COLOURS = {"red": "s_suppkey % 50", "green": "s_suppkey % 40 + 10", "blue": "s_s
 SIDE = 4
 
 
-def supplier_images(spark, d) -> DataFrame:
-    """Bitmaps in files of their own. All their bytes are below 128, so Spark's text writer can write them."""
+def bitmap():
+    """The bytes of a supplier's bitmap. All are below 128, so Spark's text writer can write them."""
     byte = lambda c: F.char(c.cast("long"))
     number = lambda c: F.concat(byte(c), F.lit("\0\0\0"))
     high = F.col("s_suppkey") % 3 + 2
     pixel = F.concat(*[byte(F.expr(COLOURS[c])) for c in ("blue", "green", "red")])
     head = F.concat(F.lit("BM"), number(high * 12 + 54), F.lit("\0\0\0\0"), number(F.lit(54)), number(F.lit(40)), number(F.lit(SIDE)), number(high), F.lit("\1\0"), byte(F.lit(24)), F.lit("\0" * 25))
+    return F.concat(head, F.repeat(pixel, (high * SIDE).cast("int")))
+
+
+def supplier_images(spark, d) -> DataFrame:
+    """Bitmaps in files of their own."""
     path = place(spark, "images")
-    table(spark, d, "supplier").select("s_suppkey", F.concat(head, F.repeat(pixel, (high * SIDE).cast("int"))).alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
+    table(spark, d, "supplier").select("s_suppkey", bitmap().alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
     return read_images(spark, path)
 
 
@@ -120,6 +126,35 @@ def read_images_files(spark, d):
     return supplier_images(spark, d).select(_supplier(), "width", "height", "channels", F.lower(F.hex(F.substring("data", 1, 1))).alias("first_blue"))
 
 
+@query("SELECT count(*) FILTER (s_suppkey % 5 > 0) AS decoded, count(*) FILTER (s_suppkey % 5 = 0) AS failed, 0::BIGINT AS unsupported FROM supplier")
+def read_images_counts(spark, d):
+    """Every fifth file holds words, not an image: what the reading query counts."""
+    path = place(spark, "images")
+    value, names = bitmap(), table(spark, d, "supplier")
+    names.select("s_suppkey", F.when(F.col("s_suppkey") % 5 == 0, "no image").otherwise(value).alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
+    counts = Observation("images")
+    read_images(spark, path, counts=counts).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([tuple(counts.get[c] for c in IMAGE_COUNTS)], ", ".join(f"{c} long" for c in IMAGE_COUNTS))
+
+
+@query("SELECT count(DISTINCT l_returnflag) AS folders, count(DISTINCT l_returnflag) FILTER (l_returnflag LIKE 'A%') AS kept FROM lineitem")
+def list_files(spark, d):
+    """Folders listed in tasks, and those whose paths begin in one way."""
+    path = place(spark, "listed")
+    table(spark, d, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("mode")).write.partitionBy("mode").parquet(path)
+    conf = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "true")
+    try:
+        found = files_below(spark, path)
+        folder = F.regexp_extract("path", "mode=([^/]*)/", 1)
+        some = found.where(F.startswith("path", F.lit("file:" + path.split("://")[-1] + "/mode=A")))
+        n, kept = (df.agg(F.count_distinct(folder)).first()[0] for df in (found, some))
+    finally:
+        spark.conf.set(conf, before)
+    return spark.createDataFrame([(n, kept)], "folders long, kept long")
+
+
 def _prepared(spark, d) -> DataFrame:
     images = supplier_images(spark, d)
     return X.prepare_pixels(images.withColumn("name", _supplier().cast("string")), SIDE)

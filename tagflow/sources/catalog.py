@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.functions.names import ext, path_parts, stem
+from tagflow.sources.listing import list_files
 
 EXTENSIONS = ("jpg", "jpeg", "png", "webp", "bmp")  # in order of preference
 
@@ -42,10 +43,9 @@ def _below(path: Column, root: str) -> Column:
 
 
 def image_catalog(spark: SparkSession, root: str, exts: Sequence[str] = EXTENSIONS, recursive: bool = True, skip_dirs: Sequence[str] = ("infer",)) -> DataFrame:
-    """The images under root. Contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root).select("path", "length", "modificationTime")
+    """The images under root. Folders are listed in tasks; contents are not read."""
     place = root.split("://")[-1].removeprefix("file:")
-    return catalog_from_paths(files, "path", place, exts, skip_dirs)
+    return catalog_from_paths(list_files(spark, root, recursive), "path", place, exts, skip_dirs)
 
 
 def filter_category(df: DataFrame, category: str) -> DataFrame:
@@ -56,11 +56,21 @@ def filter_category(df: DataFrame, category: str) -> DataFrame:
     return own
 
 
-def read_images(spark: SparkSession, root: str, drop_invalid: bool = True) -> DataFrame:
+#: What an Observation of read_images() holds.
+IMAGE_COUNTS = ("decoded", "failed", "unsupported")
+
+
+def read_images(spark: SparkSession, root: str, drop_invalid: bool = True, counts: Observation | None = None) -> DataFrame:
     """path, name, height, width, channels, data (BGR bytes) of the images under root.
 
-    Images that cannot be decoded are left out; with drop_invalid=False they have height -1.
+    Images that cannot be decoded are left out; with drop_invalid=False they have height -1. counts gets IMAGE_COUNTS from the query that
+    reads the images, without a pass of its own: files that were decoded, that were not, and WebP files, which Spark's reader does not know. A file
+    of no bytes has no row and is not counted.
     """
-    image = spark.read.format("image").option("dropInvalid", str(drop_invalid).lower()).option("recursiveFileLookup", "true").load(root)
+    image = spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(root)
     path = F.regexp_replace("image.origin", "^file:/+", "file:/")
-    return image.select(path.alias("path"), stem(path).alias("name"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
+    found = image.select(path.alias("path"), stem(path).alias("name"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
+    bad, webp = F.col("height") < 0, F.lower(ext(F.col("path"))) == "webp"
+    if counts is not None:
+        found = found.observe(counts, *[F.count_if(x).alias(c) for c, x in zip(IMAGE_COUNTS, (~bad, bad & ~webp, bad & webp), strict=True)])
+    return found.where(~bad) if drop_invalid else found
