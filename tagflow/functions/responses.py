@@ -24,9 +24,9 @@ def parse_model_json(raw: Column, schema: str = "map<string,string>") -> Column:
     return F.when(text.startswith("{"), F.from_json(text, schema))
 
 
-def parse_status(raw: Column) -> Column:
-    """ok, empty (an object without keys), failed, or missing."""
-    parsed = parse_model_json(raw)
+def parse_status(raw: Column, parsed: Column | None = None) -> Column:
+    """ok, empty (an object without keys), failed, or missing. parsed: the answer parsed, where it is a column already."""
+    parsed = parse_model_json(raw) if parsed is None else parsed
     return F.when(raw.isNull(), "missing").when(parsed.isNull(), "failed").when(F.size(F.map_keys(parsed)) == 0, "empty").otherwise("ok")
 
 

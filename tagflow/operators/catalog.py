@@ -10,7 +10,9 @@ from pyspark.sql import Window as W
 
 from tagflow.functions.names import content_hash, map_label, path_order
 from tagflow.operators.filters import quality_gate
+from tagflow.operators.joins import join_same
 from tagflow.operators.ranking import place_in
+from tagflow.sources.scratch import written
 
 
 def first_path() -> Column:
@@ -18,39 +20,69 @@ def first_path() -> Column:
     return F.min_by("path", path_order(F.col("path")))
 
 
-def duplicate_stems(catalog: DataFrame, category: str | None = None) -> DataFrame:
-    """(category, name) with several images below subcategory folders: occurrences, distinct_subcats, occ in path order.
+CHUNK = 1000  # occurrences in a row
+
+
+def _below_subcategories(catalog: DataFrame, category: str | None) -> DataFrame:
+    own = catalog.where("subcategory IS NOT NULL")
+    return own if category is None else own.where(F.col("category") == category)
+
+
+def duplicate_counts(catalog: DataFrame, category: str | None = None) -> DataFrame:
+    """category, name, occurrences, distinct_subcats of the stems with several images below subcategory folders; nothing is listed.
 
     Two copies in one subcategory count; files that lie directly under a category do not.
     """
-    own = catalog.where("subcategory IS NOT NULL")
-    if category is not None:
-        own = own.where(F.col("category") == category)
-    # what is sorted and counted is made of the groups that stay
-    several = own.groupBy("category", "name").agg(F.collect_list(F.struct(F.col("subcategory").alias("subcat"), "path")).alias("found")).where(F.size("found") > 1)
-    ordered = F.array_sort(F.transform("found", lambda x: F.struct(path_order(x["path"]).alias("k"), x.alias("x"))))
-    return several.select(
-        "category", "name", F.size("found").cast("long").alias("occurrences"), F.size(F.array_distinct("found.subcat")).cast("long").alias("distinct_subcats"),
-        F.transform(ordered, lambda x: x["x"]).alias("occ"))
+    each = _below_subcategories(catalog, category).groupBy("category", "name", "subcategory").agg(F.count("*").alias("n"))
+    return each.groupBy("category", "name").agg(F.sum("n").alias("occurrences"), F.count("*").alias("distinct_subcats")).where("occurrences > 1")
+
+
+def duplicate_rows(catalog: DataFrame, category: str | None = None) -> DataFrame:
+    """The images of duplicate_counts(), with its columns."""
+    return _below_subcategories(catalog, category).join(duplicate_counts(catalog, category), ["category", "name"])
+
+
+def duplicate_stems(catalog: DataFrame, category: str | None = None, chunk: int = CHUNK) -> DataFrame:
+    """duplicate_counts() with occ, the stem's (subcat, path) in path order, and chunk: a row, from 0, for so many of them.
+
+    Stems are counted before anything is listed: those with one image never are. A stem of more than chunk images is placed
+    in ranges of its paths, so that no task gets all of them.
+    """
+    counts = written(duplicate_counts(catalog, category), "duplicate_counts")
+    found = _below_subcategories(catalog, category).join(counts, ["category", "name"]).select(*counts.columns, F.col("subcategory").alias("subcat"), "path", path_order(F.col("path")).alias("k"))
+    few = found.where(F.col("occurrences") <= chunk).withColumn("chunk", F.lit(0).cast("long"))
+    if not counts.where(F.col("occurrences") > chunk).isEmpty():
+        many = place_in(found.where(F.col("occurrences") > chunk), ["category", "name"], ["k"], "place")
+        few = few.unionByName(many.withColumn("chunk", F.floor(F.col("place") / chunk)).drop("place"))
+    listed = few.groupBy(*counts.columns, "chunk").agg(F.array_sort(F.collect_list(F.struct("k", F.struct("subcat", "path").alias("x")))).alias("occ"))
+    return listed.select(*counts.columns, F.transform("occ", lambda x: x["x"]).alias("occ"), "chunk")
 
 
 def duplicate_summary(dups: DataFrame) -> DataFrame:
-    return dups.groupBy("category").agg(F.count("*").alias("duplicate_stems"), F.sum("occurrences").alias("copies"))
+    """category, duplicate_stems, copies. dups: duplicate_counts() or duplicate_stems()."""
+    first = dups.where("chunk = 0") if "chunk" in dups.columns else dups
+    return first.groupBy("category").agg(F.count("*").alias("duplicate_stems"), F.sum("occurrences").alias("copies"))
 
 
 def widen_duplicates(dups: DataFrame, most: int) -> DataFrame:
-    """The report's wide form: subcat_1..most, path_1..most."""
+    """The report's wide form: subcat_1..most, path_1..most; most is at most a chunk."""
     cells = [F.get("occ", F.lit(i))[f].alias(f"{p}_{i + 1}") for p, f in (("subcat", "subcat"), ("path", "path")) for i in range(most)]
-    return dups.select(F.col("name").alias("stem"), "category", "occurrences", *cells)
+    return dups.where("chunk = 0").select(F.col("name").alias("stem"), "category", "occurrences", *cells)
 
 
 def quarantine_plan(dups: DataFrame, root: str) -> DataFrame:
-    """One row a copy: where it goes under a name with its subcategory, an empty action, and whether names clash."""
-    one = dups.select("category", F.col("name").alias("stem"), F.explode("occ").alias("o"))
-    suffix = F.regexp_extract("o.path", r"(\.[^./]+)$", 1)
-    target = F.concat(F.lit(root.rstrip("/") + "/"), "stem", F.lit("__"), "o.subcat", suffix)
-    rows = one.select("stem", "category", F.col("o.subcat").alias("subcat"), target.alias("quarantine_path"), F.col("o.path").alias("original_path"), F.lit("").alias("action"))
-    return rows.withColumn("clash", F.count("*").over(W.partitionBy("quarantine_path")) > 1)
+    """One row a copy: where it goes under a name with its subcategory, an empty action, and whether names clash.
+
+    dups: duplicate_rows(), which lists nothing, or duplicate_stems().
+    """
+    one = dups.select("category", F.col("name").alias("stem"), F.explode("occ").alias("o")).select("category", "stem", F.col("o.subcat").alias("subcat"), F.col("o.path").alias("path")) if "occ" in dups.columns else dups.select(
+        "category", F.col("name").alias("stem"), F.col("subcategory").alias("subcat"), "path")
+    suffix = F.regexp_extract("path", r"(\.[^./]+)$", 1)
+    target = F.concat(F.lit(root.rstrip("/") + "/"), "stem", F.lit("__"), "subcat", suffix)
+    rows = one.select("stem", "category", "subcat", target.alias("quarantine_path"), F.col("path").alias("original_path"), F.lit("").alias("action"))
+    # counted and joined: a window would gather all copies that want one name in one task
+    wanted = rows.groupBy("quarantine_path").agg((F.count("*") > 1).alias("clash"))
+    return join_same(rows, wanted, ["quarantine_path"])
 
 
 def first_by_stem(catalog: DataFrame, label: str = "unknown") -> DataFrame:

@@ -1,4 +1,7 @@
-"""Metrics. Categorical ones all derive from one count by (gt, pred); multi-label ones from one count by attr."""
+"""Metrics. Categorical ones all derive from one count by (gt, pred); multi-label ones from one count by attr.
+
+A null label is a label like others: null is right where the truth is null.
+"""
 
 from __future__ import annotations
 
@@ -21,6 +24,10 @@ def f1(precision: Column, recall: Column) -> Column:
     return ratio(2 * precision * recall, precision + recall)
 
 
+def same() -> Column:
+    return F.col("gt").eqNullSafe(F.col("pred"))
+
+
 def pair_counts(df: DataFrame, gt: str = "gt", pred: str = "pred") -> DataFrame:
     """gt, pred, n: the one large aggregation of this module."""
     return df.groupBy(F.col(gt).alias("gt"), F.col(pred).alias("pred")).agg(F.count("*").alias("n"))
@@ -31,13 +38,16 @@ def label_universe(counts: DataFrame) -> DataFrame:
 
 
 def accuracy(counts: DataFrame) -> DataFrame:
-    return counts.agg(ratio(F.sum(F.when(F.col("gt") == F.col("pred"), F.col("n")).otherwise(0)), F.sum("n")).alias("accuracy"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return counts.agg(ratio(F.sum(F.when(same(), F.col("n")).otherwise(0)), F.sum("n")).alias("accuracy"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
 def confusion_matrix(counts: DataFrame, classes: Sequence[str]) -> DataFrame:
     """gt, pred, n and share of the gt row, on the full grid of classes."""
-    spark = counts.sparkSession
-    grid = spark.createDataFrame([(g, p) for g in classes for p in classes], "gt string, pred string")
+    spark, k = counts.sparkSession, len(classes)
+    names = spark.createDataFrame(list(enumerate(classes)), "i long, c string")
+    # a row for each cell, made in the tasks
+    cells = spark.range(k * k).select(F.floor(F.col("id") / max(1, k)).alias("i"), (F.col("id") % max(1, k)).alias("j"))
+    grid = cells.join(names.withColumnRenamed("c", "gt"), "i").join(names.select(F.col("i").alias("j"), F.col("c").alias("pred")), "j").select("gt", "pred")
     full = grid.join(counts, ["gt", "pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     rows = full.groupBy("gt").agg(F.sum("n").alias("row_n"))
     return full.join(rows, "gt").select("gt", "pred", "n", (F.col("n") / F.greatest("row_n", F.lit(1))).alias("share"))
@@ -45,9 +55,9 @@ def confusion_matrix(counts: DataFrame, classes: Sequence[str]) -> DataFrame:
 
 def per_label(counts: DataFrame) -> DataFrame:
     """label, tp, support, predicted, precision, recall, f1 of every label on either side."""
-    by_gt = counts.groupBy(F.col("gt").alias("label")).agg(F.sum("n").alias("support"), F.sum(F.when(F.col("gt") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"))
-    by_pred = counts.groupBy(F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
-    both = by_gt.join(by_pred, "label", "full").fillna(0, ["support", "tp", "predicted"])
+    truth = counts.select(F.col("gt").alias("label"), F.col("n").alias("support"), F.when(same(), F.col("n")).otherwise(0).alias("tp"), F.lit(0).alias("predicted"))
+    given = counts.select(F.col("pred").alias("label"), F.lit(0).alias("support"), F.lit(0).alias("tp"), F.col("n").alias("predicted"))
+    both = truth.unionByName(given).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "tp", "predicted")])
     scored = both.withColumn("precision", ratio(F.col("tp"), F.col("predicted"))).withColumn("recall", ratio(F.col("tp"), F.col("support")))
     return scored.withColumn("f1", f1(F.col("precision"), F.col("recall")))
 
@@ -67,18 +77,18 @@ def classification_report(counts: DataFrame) -> DataFrame:
 
 
 def per_class_accuracy(counts: DataFrame) -> DataFrame:
-    """label, n_samples, accuracy of each gt class, and the row OVERALL."""
-    right = F.sum(F.when(F.col("gt") == F.col("pred"), F.col("n")).otherwise(0))
+    """label, n_samples, accuracy of each gt class, and the row OVERALL, both without the rows whose truth is null."""
+    right = F.sum(F.when(same(), F.col("n")).otherwise(0))
     rolled = counts.where("gt IS NOT NULL").rollup("gt").agg(F.sum("n").alias("n_samples"), ratio(right, F.sum("n")).alias("accuracy"))
     return rolled.select(F.coalesce("gt", F.lit("OVERALL")).alias("label"), "n_samples", "accuracy")
 
 
 def top_confusions(counts: DataFrame, k: int = 10) -> DataFrame:
-    return counts.where("gt <> pred").orderBy(F.desc("n"), "gt", "pred").limit(k)
+    return counts.where(~same()).orderBy(F.desc("n"), "gt", "pred").limit(k)
 
 
 def misclassified(df: DataFrame) -> DataFrame:
-    return df.where("gt <> pred").select("name", F.col("gt").alias("true_label"), F.col("pred").alias("pred_label"))
+    return df.where(~same()).select("name", F.col("gt").alias("true_label"), F.col("pred").alias("pred_label"))
 
 
 def attr_counts(long: DataFrame) -> DataFrame:

@@ -30,10 +30,10 @@ def match_counts(gt: DataFrame, pred: DataFrame) -> DataFrame:
 
 
 def pending(catalog: DataFrame, done: DataFrame, retry_failed: bool = False, failed: Column | None = None) -> DataFrame:
-    """Images not done yet, one a name (the first path). With retry_failed, done rows where failed holds do not count."""
+    """Images not done yet, one a name: the first path; without paths the row that is least as JSON. With retry_failed, done rows where failed holds do not count."""
     if retry_failed and failed is not None:
         done = done.where(~F.coalesce(failed, F.lit(False)))
-    first = catalog.groupBy("name").agg(F.min_by(F.struct("*"), path_order(F.col("path"))).alias("r")).select("r.*") if "path" in catalog.columns else catalog.dropDuplicates(["name"])
+    first = catalog.groupBy("name").agg(F.min_by(F.struct("*"), path_order(F.col("path"))).alias("r")).select("r.*") if "path" in catalog.columns else catalog.groupBy("name").agg(F.min_by(F.struct("*"), F.to_json(F.struct("*"))).alias("r")).select("r.*")
     return first.join(done.select("name"), "name", "left_anti")
 
 

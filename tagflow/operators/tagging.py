@@ -13,7 +13,7 @@ from tagflow.operators.calls import Client, call_batch
 
 def parse_tags(answers: DataFrame, toes: Sequence[str], heels: Sequence[str], attrs: Sequence[str], raw: str = "raw", heel_fallback: str | None = None) -> DataFrame:
     """name, toe_shape, heel_type, a nullable flag for each attribute, parse_status. No row is lost."""
-    parsed = answers.select("name", parse_model_json(F.col(raw)).alias("j"), parse_status(F.col(raw)).alias("parse_status"))
+    parsed = answers.select("name", raw, parse_model_json(F.col(raw)).alias("j")).withColumn("parse_status", parse_status(F.col(raw), F.col("j")))
     key = lambda k: F.try_element_at("j", F.lit(k))
     return parsed.select(
         "name", validate_choice(key("toe_shape"), toes).alias("toe_shape"), validate_choice(key("heel_type"), heels, heel_fallback).alias("heel_type"),

@@ -58,12 +58,20 @@ def _occ(df):
 
 @query(DUPS + "SELECT * FROM d")
 def duplicate_stems(spark, d):
-    return _occ(C.duplicate_stems(images(spark, d)))
+    return _occ(C.duplicate_stems(images(spark, d))).drop("chunk")  # 0: no stem here has a thousand images
 
 
 @query(DUPS + "SELECT category, count(*) AS duplicate_stems, CAST(sum(occurrences) AS BIGINT) AS copies FROM d GROUP BY ALL")
 def duplicate_summary(spark, d):
-    return C.duplicate_summary(C.duplicate_stems(images(spark, d)))
+    return C.duplicate_summary(C.duplicate_counts(images(spark, d)))
+
+
+@query(PATHS + """, r AS (SELECT category, name, subcategory, path, row_number() OVER (PARTITION BY category, name ORDER BY path) - 1 AS i, count(*) OVER (PARTITION BY category, name) AS n FROM c)
+SELECT category, name, i // 2 AS chunk, string_agg(path, ' ' ORDER BY path) AS paths FROM r WHERE n > 1 GROUP BY ALL""")
+def duplicate_chunks(spark, d):
+    """Lists in chunks of two: stems with more images have several rows."""
+    dups = C.duplicate_stems(images(spark, d), chunk=2)
+    return dups.select("category", "name", "chunk", F.array_join(F.transform("occ", lambda x: x["path"]), " ").alias("paths"))
 
 
 @query(PATHS + """, r AS (SELECT *, row_number() OVER (PARTITION BY category, name ORDER BY path) AS i, count(*) OVER (PARTITION BY category, name) AS n FROM c)
@@ -77,7 +85,7 @@ def duplicates_wide(spark, d):
  FROM c JOIN (SELECT category, name FROM c GROUP BY ALL HAVING count(*) > 1) USING (category, name))
 SELECT *, count(*) OVER (PARTITION BY quarantine_path) > 1 AS clash FROM q""")
 def quarantine_plan(spark, d):
-    return C.quarantine_plan(C.duplicate_stems(images(spark, d)), "/q")
+    return C.quarantine_plan(C.duplicate_rows(images(spark, d)), "/q")
 
 
 @query(PATHS + "SELECT name, min(path) AS path, count(*) AS n_paths, 'unknown' AS \"Class\" FROM c GROUP BY name")

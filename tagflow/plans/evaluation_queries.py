@@ -169,12 +169,13 @@ SELECT name, CASE WHEN g = 1 AND p = 1 THEN 'TP' WHEN p = 1 THEN 'FP' WHEN g = 1
 
 @query(f"WITH cases AS ({CASES}) SELECT * FROM cases WHERE badge IN ('FP', 'FN')")
 def error_cases(spark, d):
-    # a line item's labels as arrays, without a row for each attribute; one grouping gives both lists
-    true = [F.when(F.expr(g), F.lit(a)) for a, (g, _) in ATTRS.items()]
-    predicted = [F.when(F.expr(f"CAST({s} AS DOUBLE)") >= 0.5, F.lit(a)) for a, (_, s) in ATTRS.items()]
-    items = table(spark, d, "lineitem").select(F.expr(NAME).alias("name"), F.array_compact(F.array(*true)).alias("g"), F.array_compact(F.array(*predicted)).alias("p"))
-    lists = [F.array_sort(F.flatten(F.collect_list(c))).alias(c) for c in ("g", "p")]
-    return J.badged(items.groupBy("name").agg(*lists), "big", "both")
+    # names may repeat: how often a name has each label is counted, and lists are made of the counts of the cases that stay
+    pred = F.expr(f"CAST({ATTRS['big'][1]} AS DOUBLE)") >= 0.5
+    counted = [F.count_if(F.expr(g)).alias(f"n_{a}") for a, (g, _) in ATTRS.items()]
+    by_name = table(spark, d, "lineitem").groupBy(F.expr(NAME).alias("name")).agg(*counted, F.count_if(pred).alias("p_big"))
+    wrong = by_name.where((F.col("n_big") > 0) != (F.col("p_big") > 0))
+    true = F.flatten(F.array(*[F.array_repeat(F.lit(a), F.col(f"n_{a}").cast("int")) for a in sorted(ATTRS)]))
+    return J.badged(wrong.select("name", true.alias("g"), F.array_repeat(F.lit("big"), F.col("p_big").cast("int")).alias("p")), "big", "both")
 
 
 # ---- terms

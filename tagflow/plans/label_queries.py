@@ -254,8 +254,8 @@ def answers(spark, d):
 
 @query("""SELECT CAST(event_id AS VARCHAR) AS name, CASE event_id % 5 WHEN 2 THEN 'failed' WHEN 3 THEN 'empty' WHEN 4 THEN 'failed' ELSE 'ok' END AS status, CASE WHEN event_id % 5 < 2 THEN event_type END AS toe FROM events""")
 def parse_model_json(spark, d):
-    raw = F.col("raw")
-    return answers(spark, d).select("name", R.parse_status(raw).alias("status"), F.try_element_at(R.parse_model_json(raw), F.lit("toe_shape")).alias("toe"))
+    parsed = answers(spark, d).withColumn("j", R.parse_model_json(F.col("raw")))
+    return parsed.select("name", R.parse_status(F.col("raw"), F.col("j")).alias("status"), F.try_element_at("j", F.lit("toe_shape")).alias("toe"))
 
 
 @query(f"SELECT event_id, CASE WHEN event_type IN {TOES} THEN event_type ELSE '_invalid:' || event_type END AS choice, CASE WHEN event_type IN {TOES} THEN event_type ELSE 'flat-heel' END AS fallback FROM events")

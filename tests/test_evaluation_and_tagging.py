@@ -117,6 +117,23 @@ def test_prompts(spark):
     assert block(None, P.true_names([], cols) if False else F.array().cast("array<string>"), F.array().cast("array<string>")) == "(no tags available)"
 
 
+def test_null_labels_are_a_label(spark):
+    c = counts(spark, [("a", "a"), (None, None), (None, "a"), ("a", None), ("b", "a")])
+    rows = {r.label: r for r in E.classification_report(c).collect()}
+    assert set(rows) == {"a", "b", None, "macro avg", "weighted avg", "accuracy"} and E.classification_report(c).count() == 6
+    assert (rows[None].precision, rows[None].recall, rows[None].support) == (0.5, 0.5, 2) and rows["b"].support == 1
+    assert rows["accuracy"].f1 == pytest.approx(0.4) and E.accuracy(c).first().accuracy == pytest.approx(0.4)
+    assert rows["macro avg"].recall == pytest.approx((0.5 + 0.5 + 0) / 3)
+    assert E.top_confusions(c).count() == 3
+    assert {r.label for r in E.per_class_accuracy(c).collect()} == {"a", "b", "OVERALL"}
+
+
+def test_a_grid_of_many_classes_is_made_in_tasks(spark):
+    classes = [f"c{i}" for i in range(300)]
+    grid = E.confusion_matrix(counts(spark, [("c1", "c2"), ("c1", "c2"), ("c1", "c1"), ("zz", "c1")]), classes)
+    assert grid.count() == 90_000 and sorted((r.gt, r.pred, r.n, round(r.share, 3)) for r in grid.where("n > 0").collect()) == [("c1", "c1", 1, 0.333), ("c1", "c2", 2, 0.667)]
+
+
 class Flaky:
     """Answers at the second try; never for the row bad."""
 

@@ -205,3 +205,17 @@ def test_annotation_files_and_sinks(spark, tmp_path):
     assert nested.model_details == ["round", "a-b"] and nested.embellishments == []
     made = {r.data.name: r.annotations for r in preannotation_tasks(long.withColumn("file", F.concat("name", F.lit(".jpg"))), ["b", "a"], "u/", "w").collect()}
     assert made["m"] == [] and made["n"][0].result[0].value.choices == ["a"]
+
+
+def test_stems_of_many_images_are_listed_in_chunks(spark):
+    paths = [f"r/c/s{i % 3}/many/{i:04d}/x.jpg" for i in range(2500)] + ["r/c/s0/one.jpg", "r/c/s1/two.jpg", "r/c/s1/a/two.jpg"]
+    images = catalog_from_paths(spark.createDataFrame([(p,) for p in paths], "path string"), root="r")
+    assert {(r.name, r.occurrences, r.distinct_subcats) for r in C.duplicate_counts(images).collect()} == {("x", 2500, 3), ("two", 2, 1)}
+    dups = C.duplicate_stems(images).collect()
+    assert sorted((r.name, r.chunk, len(r.occ), r.occurrences) for r in dups) == [("two", 0, 2, 2), ("x", 0, 1000, 2500), ("x", 1, 1000, 2500), ("x", 2, 500, 2500)]
+    listed = [o.path for r in sorted(dups, key=lambda r: r.chunk) if r.name == "x" for o in r.occ]
+    assert listed == sorted(p for p in paths if "/many/" in p)
+    assert {(r.category, r.duplicate_stems, r.copies) for r in C.duplicate_summary(C.duplicate_stems(images)).collect()} == {("c", 2, 2502)}
+    plan = C.quarantine_plan(C.duplicate_rows(images), "/q")
+    assert sorted(map(repr, plan.collect())) == sorted(map(repr, C.quarantine_plan(C.duplicate_stems(images), "/q").collect()))
+    assert plan.count() == 2502 and plan.where("NOT clash").count() == 0
