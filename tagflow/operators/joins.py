@@ -62,20 +62,26 @@ def resolve_images(labels: DataFrame, catalog: DataFrame) -> DataFrame:
     return labels.join(best_paths(catalog), "name", "left")
 
 
+def labels_marked(labels: DataFrame, catalog: DataFrame, outputs: DataFrame) -> DataFrame:
+    """name, have (there is an image), done (there is an output) of each label row."""
+    names = lambda df, flag: df.select("name").distinct().withColumn(flag, F.lit(True))
+    found = labels.select("name").join(names(catalog, "have"), "name", "left").join(names(outputs, "done"), "name", "left")
+    return found.select("name", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("have", "done")])
+
+
 def coverage(labels: DataFrame, catalog: DataFrame, outputs: DataFrame) -> DataFrame:
     """One row: n_labels, already_done, to_process, missing (no image), images."""
-    names = lambda df, flag: df.select("name").distinct().withColumn(flag, F.lit(True))
-    have, done = names(catalog, "have"), names(outputs, "done")
-    own = labels.select("name").join(have, "name", "left").join(done, "name", "left").select(F.coalesce("have", F.lit(False)).alias("have"), F.coalesce("done", F.lit(False)).alias("done"))
-    counts = own.agg(
+    counts = labels_marked(labels, catalog, outputs).agg(
         F.count("*").alias("n_labels"), F.count_if("done").alias("already_done"), F.count_if(F.col("have") & ~F.col("done")).alias("to_process"),
         F.count_if(~F.col("have") & ~F.col("done")).alias("missing"))
-    return counts.withColumn("k", F.lit(1)).join(have.agg(F.count("*").alias("images")).withColumn("k", F.lit(1)), "k").drop("k")
+    images = catalog.select("name").distinct().agg(F.count("*").alias("images"))
+    return counts.withColumn("k", F.lit(1)).join(images.withColumn("k", F.lit(1)), "k").drop("k")
 
 
 def last_by_name(df: DataFrame, pos: str = "pos") -> DataFrame:
     """Of rows of one name the last by position."""
-    return df.groupBy("name").agg(F.max_by(F.struct("*"), F.col(pos)).alias("r")).select("r.*")
+    own = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "name"])  # the name stays the key, so that a layout by name lasts
+    return df.groupBy("name").agg(F.max_by(own, F.col(pos)).alias("r")).select("name", "r.*").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def attach_tags(images: DataFrame, tags: DataFrame, pos: str = "pos") -> DataFrame:

@@ -487,15 +487,32 @@ def fit_head_shares(spark, d):
     return S.logits(one, head, "event_type").select(F.col("event_type").alias("k"), cells.alias("c")).select("k", "c.label", F.round("c.p", 3).alias("prob"))
 
 
+@query("SELECT DISTINCT source, CAST(doc_id AS VARCHAR) AS name FROM documents WHERE source IS NOT NULL")
+def commit_results(spark, d):
+    """A commit for each of two halves; the second is made twice, a third writer dies before its end."""
+    from tagflow.sources.results import commit_results as commit
+    from tagflow.sources.results import read_results
+    from tagflow.sources.scratch import shared_dir
+
+    path = f"{shared_dir(spark)}/results-{uuid.uuid4().hex}"
+    rows = table(spark, d, "documents").where("source IS NOT NULL").select("source", F.col("doc_id").cast("string").alias("name")).distinct()
+    half = F.crc32("name") % 2
+    for k in (0, 1, 1):
+        commit(rows.where(half == k), path, f"half {k}")
+    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/commit=killed/attempt=0")
+    return read_results(spark, path)
+
+
 @query("SELECT DISTINCT CAST(doc_id AS VARCHAR) AS name, lang FROM documents")
 def incremental_intake(spark, d):
     """The documents as a stream, each name tagged once; a second run finds nothing new."""
     from tagflow.sources.scratch import shared_dir
     from tagflow.streaming.intake import incremental_intake as intake
+    from tagflow.streaming.intake import read_results
 
     place = f"{shared_dir(spark)}/intake-{uuid.uuid4().hex}"
     schema = table(spark, d, "documents").schema
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{d}/documents.parque[t]").select(F.col("doc_id").cast("string").alias("name"), "lang")
     for _ in range(2):
         intake(stream, lambda df: df, f"{place}/done", f"{place}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{place}/done")
+    return read_results(spark, f"{place}/done")
