@@ -243,18 +243,17 @@ def _descend(bits: int, leaves: bool):
 def totals(packed: DataFrame, blocks: int, bits: int) -> DataFrame:
     """Rows BACK for each of the blocks (numbers below blocks), and those of the root with node -1."""
     group, asked = ["ngrams", "node", "range"], packed.mapInArrow(_requests(bits), SENT)
-    if blocks <= 1 << bits:  # one level: what is sent is used once and need not be kept
-        return written(asked.groupBy(*group).applyInArrow(_root(bits, True), BACK), "back")
-    levels = [written(asked, "sent")]
-    while blocks > 1 << (bits * len(levels)):
-        levels.append(written(levels[-1].groupBy(*group).applyInArrow(_climb(len(levels), bits), SENT), "sent"))
-    back = written(levels[-1].groupBy(*group).applyInArrow(_root(bits, False), BACK), "back")
-    for k, sent in reversed(list(enumerate(levels[:-1]))):
-        down = sent.groupBy(*group).cogroup(back.where("node >= 0").groupBy(*group)).applyInArrow(_descend(bits, k == 0), BACK)
-        below = written(back.where("node < 0").unionByName(down), "back")
-        discard(back)
-        back = below
-    discard(*levels)
+    # what blocks send is made anew where it is needed: kept, it would be the largest table of all
+    sent = [asked]
+    while blocks > 1 << (bits * len(sent)):
+        sent.append(written(sent[-1].groupBy(*group).applyInArrow(_climb(len(sent), bits), SENT), "sent"))
+    back = written(sent[-1].groupBy(*group).applyInArrow(_root(bits, len(sent) == 1), BACK), "back")
+    discard(*sent[1:][-1:])
+    for k, below in reversed(list(enumerate(sent[:-1]))):
+        down = below.groupBy(*group).cogroup(back.where("node >= 0").groupBy(*group)).applyInArrow(_descend(bits, k == 0), BACK)
+        answered = written(back.where("node < 0").unionByName(down), "back")
+        discard(back, *([below] if k else []))
+        back = answered
     return back
 
 
