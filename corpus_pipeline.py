@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tagflow.llm.byte_cnn import keep_good
 from tagflow.llm.decontamination import without_items
 from tagflow.llm.prefix_join import keep_one
-from tagflow.llm.shared import table, written
+from tagflow.llm.shared import discard, table, written
 from tagflow.llm.slots import MAP_CONF, sharded
 from tagflow.llm.source_mix import mix
 
@@ -57,7 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), "stage")
+        discard(*before)  # the table that only this stage has read
+        before = [docs]
     return docs
