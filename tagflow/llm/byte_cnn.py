@@ -10,6 +10,7 @@ the tables themselves are what is learned.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -162,8 +163,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, rows_each: int =
 
     Labels other than 0 and 1, null ones, and those of documents that are not in docs are left out; of several labels of one document
     the largest counts, of several texts the shortest and least. Without labels the model gives 0.5,
-    with one label only that label. If a label has documents but each is longer than bytes_each, that is an error, as it is
-    if there are labels of both kinds but docs holds documents of one only.
+    with one label only that label. If a label has documents but each is longer than bytes_each, that is an error. A warning
+    says if there are labels of both kinds but docs holds documents of one only.
     """
     every = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(may_learn).groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
     # labels of documents that are not here would fill the sample
@@ -180,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, rows_each: int =
     if none := labels_of(lengths) - labels_of(chosen):
         raise ValueError(f"no document of label {min(none)} fits a sample of {bytes_each} bytes")
     if len(labels_of(lengths)) == 1 and len(labels_of(every)) == 2:
-        raise ValueError("there are labels of both kinds, but all of one kind are of other documents")
+        warnings.warn("there are labels of both kinds, but all of one kind are of other documents: the score is a constant", stacklevel=2)
     texts = text_batches(docs).select("doc_id", "text", size.alias("size")).join(F.broadcast(chosen), ["doc_id", "size"])
     got = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
