@@ -140,13 +140,11 @@ def threshold_sweep(scores: DataFrame, thresholds: Sequence[float] = THRESHOLDS)
     # a sum of comparisons: unlike a lambda over the thresholds it is compiled
     bucket = sum(((F.col("score") >= t).cast("int") for t in thresholds), F.lit(0))
     hist = scores.groupBy("attr", F.coalesce(bucket, F.lit(0)).alias("b")).agg(F.count_if(F.col("gt") == 1).alias("pos"), F.count_if(F.col("gt") != 1).alias("neg"))
-    # a bucket b counts at the first b thresholds
-    at = F.posexplode(F.array(*[F.lit(t) for t in thresholds]))
-    total = hist.groupBy("attr").agg(F.sum("pos").alias("all_pos"))
-    cum = hist.select("attr", "b", "pos", "neg", at.alias("i", "threshold")).groupBy("attr", "threshold").agg(
-        F.sum(F.when(F.col("b") > F.col("i"), F.col("pos")).otherwise(0)).alias("tp"), F.sum(F.when(F.col("b") > F.col("i"), F.col("neg")).otherwise(0)).alias("fp"))
-    value = ratio(2.0 * F.col("tp"), F.col("tp") + F.col("fp") + F.col("all_pos"))
-    best = cum.join(total, "attr").withColumn("f", value).groupBy("attr").agg(F.max(F.struct("f", (-F.col("threshold")).alias("t"))).alias("m"))
+    # a bucket b counts at the first b thresholds; the few buckets of an attribute are summed once more, without a join
+    above = lambda c, i: F.sum(F.when(F.col("b") > i, F.col(c)).otherwise(0))
+    sums = hist.groupBy("attr").agg(F.sum("pos").alias("all_pos"), *[above(c, i).alias(f"{c}_{i}") for i in range(len(thresholds)) for c in ("pos", "neg")])
+    value = lambda i: ratio(2.0 * F.col(f"pos_{i}"), F.col(f"pos_{i}") + F.col(f"neg_{i}") + F.col("all_pos"))
+    best = sums.select("attr", F.array_max(F.array(*[F.struct(value(i).alias("f"), F.lit(-t).alias("t")) for i, t in enumerate(thresholds)])).alias("m"))
     return best.select("attr", F.when(F.col("m.f") > 0, -F.col("m.t")).otherwise(0.5).alias("threshold"), F.col("m.f").alias("f1"))
 
 
