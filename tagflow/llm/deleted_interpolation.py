@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.llm.shared import discard, text_batches, written
+from tagflow.llm.shared import discard, swept, text_batches, written
 from tagflow.llm.words import mix, slices, text_bytes, word_hashes
 
 U = np.uint64
@@ -247,6 +247,7 @@ def totals(packed: DataFrame, blocks: int, bits: int) -> DataFrame:
     sent = [asked]
     while blocks > 1 << (bits * len(sent)):
         sent.append(written(sent[-1].groupBy(*group).applyInArrow(_climb(len(sent), bits), SENT), "sent"))
+        swept(packed.sparkSession)
     back = written(sent[-1].groupBy(*group).applyInArrow(_root(bits, len(sent) == 1), BACK), "back")
     discard(*sent[1:][-1:])
     for k, below in reversed(list(enumerate(sent[:-1]))):
@@ -254,6 +255,7 @@ def totals(packed: DataFrame, blocks: int, bits: int) -> DataFrame:
         answered = written(back.where("node < 0").unionByName(down), "back")
         discard(back, *([below] if k else []))
         back = answered
+        swept(packed.sparkSession)
     return back
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.sources.scratch import discard, shared_dir, written
 
-__all__ = ["components", "copies", "discard", "shared_dir", "table", "text_batches", "written"]
+__all__ = ["components", "copies", "discard", "shared_dir", "swept", "table", "text_batches", "written"]
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 4 << 20
@@ -28,6 +30,13 @@ def text_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def swept(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of steps that are over. It does so once the driver's JVM finds them unreachable, which between
+    large steps may be too late for the executors' disks."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def copies(df: DataFrame, number: str, block: int = 4096) -> DataFrame:
     """Each row of df as often as its column number says, with the column copy from 0; numbers of any size, in blocks."""
     blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(number) - 1) / block)))
