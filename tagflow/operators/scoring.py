@@ -123,7 +123,6 @@ def fit_head(embeddings: DataFrame, label: str, classes: Sequence[str], weights:
     steps with the best accuracy on val is taken, the first of equals.
     """
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.functions import array_to_vector
 
     place = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label))
@@ -133,10 +132,16 @@ def fit_head(embeddings: DataFrame, label: str, classes: Sequence[str], weights:
     best, best_score = None, -1.0
     for reg in steps if split else steps[:1]:
         model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=reg, maxIter=100, tol=tolerance, family="multinomial").fit(rows)
-        score = MulticlassClassificationEvaluator(labelCol="y", metricName="accuracy").evaluate(model.transform(data.where(F.col(split) == "val"))) if split else 0.0
+        # scored by the head itself: the model holds its session, which cannot be sent to tasks once it has observed a query
+        head = LinearHead(list(classes), model.coefficientMatrix.toArray().T, model.interceptVector.toArray())
+        score = 0.0
+        if split:
+            held = data.where(F.col(split) == "val").select("y", F.col(column).cast("array<double>").alias("features"))
+            right = F.array_position("logits", F.array_max("logits")) - 1 == F.col("y")
+            score = logits(held, head, "y").agg(F.avg(right.cast("double"))).first()[0] or 0.0
         if score > best_score:
-            best, best_score = model, score
-    return LinearHead(list(classes), best.coefficientMatrix.toArray().T, best.interceptVector.toArray())
+            best, best_score = head, score
+    return best
 
 
 def multi_loss(x: np.ndarray, y: np.ndarray, positive: np.ndarray, theta: np.ndarray) -> tuple[float, np.ndarray]:
