@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.llm.shared import discard, swept, text_batches, written
+from tagflow.llm.shared import discard, shuffles_removed, text_batches, written
 from tagflow.llm.words import mix, slices, text_bytes, word_hashes
 
 U = np.uint64
@@ -247,7 +247,6 @@ def totals(packed: DataFrame, blocks: int, bits: int) -> DataFrame:
     sent = [asked]
     while blocks > 1 << (bits * len(sent)):
         sent.append(written(sent[-1].groupBy(*group).applyInArrow(_climb(len(sent), bits), SENT), "sent"))
-        swept(packed.sparkSession)
     back = written(sent[-1].groupBy(*group).applyInArrow(_root(bits, len(sent) == 1), BACK), "back")
     discard(*sent[1:][-1:])
     for k, below in reversed(list(enumerate(sent[:-1]))):
@@ -255,7 +254,6 @@ def totals(packed: DataFrame, blocks: int, bits: int) -> DataFrame:
         answered = written(back.where("node < 0").unionByName(down), "back")
         discard(back, *([below] if k else []))
         back = answered
-        swept(packed.sparkSession)
     return back
 
 
@@ -356,7 +354,8 @@ def interpolated_scores(docs: DataFrame, held_out, tuning, block_bytes: int = 4
     if parts is None:
         return docs.sparkSession.createDataFrame([], schema)
     packed = made.withColumn("block", F.col("part") * (most + 1) + F.col("place"))
-    back = totals(packed, (parts + 1) * (most + 1), bits)
+    with shuffles_removed(docs.sparkSession):
+        back = totals(packed, (parts + 1) * (most + 1), bits)
     sums = back.where("node < 0").groupBy("ngrams").agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens"), F.sum("tuned").alias("tuned"))
     types, tokens, tuned = next(((r.types, r.tokens, r.tuned) for r in sums.collect() if r.ngrams == 1), (0, 0, 0))
     own = back.where("node >= 0").withColumnRenamed("node", "block")

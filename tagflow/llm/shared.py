@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import gc
+import contextlib
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.sources.scratch import discard, shared_dir, written
 
-__all__ = ["components", "copies", "discard", "shared_dir", "swept", "table", "text_batches", "written"]
+__all__ = ["components", "copies", "discard", "shared_dir", "shuffles_removed", "table", "text_batches", "written"]
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 4 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +32,15 @@ def text_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def swept(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of steps that are over. It does so once the driver's JVM finds them unreachable, which between
-    large steps may be too late for the executors' disks."""
-    gc.collect()
-    spark._jvm.System.gc()
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of each query go when it ends, instead of when the driver's JVM finds them unreachable: for queries whose results are written."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def copies(df: DataFrame, number: str, block: int = 4096) -> DataFrame:
