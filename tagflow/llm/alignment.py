@@ -291,7 +291,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, block_bytes: int = BLOCK_
             files.append(f.read())
     width = len(Encoders(*files).b.size)
     shared = spark.sparkContext.broadcast(tuple(files))
-    blocks = written(text_batches(docs).select("doc_id", "text").mapInArrow(_blocks(shared, block_bytes), BLOCK), "blocks")
+    blocks = written(text_batches(docs).select("doc_id", "text").mapInArrow(_blocks(shared, block_bytes), BLOCK), "blocks", wide=True)
     sent = blocks.select(F.explode(F.arrays_zip("pairs", "counts")).alias("x")).select(F.col("x.pairs").alias("pair"), F.col("x.counts").alias("n"))
     sums = written(sent.groupBy("pair").agg(F.sum("n").alias("n")), "pair_sums")
     most = sums.groupBy((F.col("pair") % width).alias("b")).agg(F.max("n").alias("most"))

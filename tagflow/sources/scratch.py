@@ -30,14 +30,19 @@ def _temporary() -> str:
     return "file://" + tempfile.mkdtemp(prefix="tagflow-")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: For rows of some MB: Parquet's writer looks at its size only after 100 rows, and Spark's reader takes up to 4,096 rows of a row group at a time.
+WIDE = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1}  # the latter is for row groups too
+
+
+def written(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors.
 
     Compressed by zstd, whose buffers are in the heap; the buffers of the default codec are outside of it and linger.
+    wide: rows are blocks of some MB; row groups are then of a few rows, so that neither writer nor reader holds many.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tagflow/{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **(WIDE if wide else {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out

@@ -80,3 +80,23 @@ def test_joins_of_bucketed_tables_need_no_shuffle(spark, no_broadcast):
         assert sorted(map(repr, got.collect())) == sorted(map(repr, join(tables).collect())), name
     for k in tables:
         spark.sql(f"DROP TABLE layout_{k}")
+
+
+def test_blocks_of_some_mb_are_written_in_small_row_groups(spark):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tagflow.sources.scratch import written
+
+    def blocks(batches):
+        for batch in batches:
+            for x in batch.column("id").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([x]), pa.array([os.urandom(2 << 20)], pa.binary())], ["id", "data"])
+
+    made = written(spark.range(0, 40, 1, 1).mapInArrow(blocks, "id long, data binary"), "blocks", wide=True)
+    (file,) = [f.removeprefix("file://") for f in made.inputFiles()]
+    meta = pq.ParquetFile(file).metadata
+    assert max(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)) < 24 << 20  # without wide: one of 80 MB
+    assert made.selectExpr("count(distinct id)", "sum(length(data))").first()[:] == (40, 40 << 21)
