@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
@@ -26,6 +27,7 @@ from tagflow.plans.registry import query, table
 from tagflow.sources import tables as B
 from tagflow.sources.catalog import IMAGE_COUNTS, image_catalog, read_images
 from tagflow.sources.listing import list_files as files_below
+from tagflow.sources.listing import opened
 from tagflow.sources.scratch import shared_dir
 
 
@@ -101,7 +103,7 @@ SIDE = 4
 
 
 def bitmap():
-    """The bytes of a supplier's bitmap. All are below 128, so Spark's text writer can write them."""
+    """The bytes of a supplier's bitmap, as text: all are below 128."""
     byte = lambda c: F.char(c.cast("long"))
     number = lambda c: F.concat(byte(c), F.lit("\0\0\0"))
     high = F.col("s_suppkey") % 3 + 2
@@ -110,15 +112,35 @@ def bitmap():
     return F.concat(head, F.repeat(pixel, (high * SIDE).cast("int")))
 
 
+def write_images(images: DataFrame, path: str) -> None:
+    """images(s_suppkey, value) as files below path that tasks write, 1,000 in a folder: the driver neither writes nor renames any."""
+    tasks = int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base, _ = opened(path)
+        for batch in batches:
+            for key, value in zip(batch.column("s_suppkey").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                folder = f"{base}/{key // 1000}"
+                own = f"{folder}/_{uuid.uuid4().hex}"
+                system.create_dir(folder, recursive=True)
+                with system.open_output_stream(own) as f:  # a repeated task replaces whole files
+                    f.write(value)
+                system.move(own, f"{folder}/{key}.bmp")
+            yield batch.select(["s_suppkey"])
+
+    rows = images.select(F.col("s_suppkey").cast("long"), F.col("value").cast("binary"))
+    rows.repartition(tasks, "s_suppkey").mapInArrow(write, "s_suppkey long").write.format("noop").mode("overwrite").save()
+
+
 def supplier_images(spark, d) -> DataFrame:
     """Bitmaps in files of their own."""
     path = place(spark, "images")
-    table(spark, d, "supplier").select("s_suppkey", bitmap().alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
+    write_images(table(spark, d, "supplier").select("s_suppkey", bitmap().alias("value")), path)
     return read_images(spark, path)
 
 
-def _supplier(path: str = "path"):
-    return F.regexp_extract(path, r"s_suppkey=(\d+)/", 1).cast("long").alias("s_suppkey")
+def _supplier():
+    return F.col("name").cast("long").alias("s_suppkey")
 
 
 @query("SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, 4 AS width, CAST(s_suppkey % 3 + 2 AS INTEGER) AS height, 3 AS channels, lower(hex(chr(CAST(s_suppkey % 30 + 60 AS INTEGER)))) AS first_blue FROM supplier", name="read_images")
@@ -131,7 +153,7 @@ def read_images_counts(spark, d):
     """Every fifth file holds words, not an image: what the reading query counts."""
     path = place(spark, "images")
     value, names = bitmap(), table(spark, d, "supplier")
-    names.select("s_suppkey", F.when(F.col("s_suppkey") % 5 == 0, "no image").otherwise(value).alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
+    write_images(names.select("s_suppkey", F.when(F.col("s_suppkey") % 5 == 0, "no image").otherwise(value).alias("value")), path)
     counts = Observation("images")
     read_images(spark, path, counts=counts).write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([tuple(counts.get[c] for c in IMAGE_COUNTS)], ", ".join(f"{c} long" for c in IMAGE_COUNTS))
@@ -156,8 +178,7 @@ def list_files(spark, d):
 
 
 def _prepared(spark, d) -> DataFrame:
-    images = supplier_images(spark, d)
-    return X.prepare_pixels(images.withColumn("name", _supplier().cast("string")), SIDE)
+    return X.prepare_pixels(supplier_images(spark, d), SIDE)
 
 
 _mean = lambda c: f"(({COLOURS[c]}) * h + 255 * (4 - h)) / 4.0::DOUBLE"

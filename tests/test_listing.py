@@ -80,3 +80,13 @@ def test_failed_decodes_are_counted_by_the_query_that_reads(spark, tmp_path):
     assert sorted((r.name, r.width, r.height) for r in found) == [("a", 2, 2), ("b", 3, 1)]
     assert counts.get == {"decoded": 2, "failed": 1, "unsupported": 2}  # Spark reads no row of an empty file
     assert read_images(spark, str(tmp_path), drop_invalid=False).where("height < 0").count() == 3
+
+
+def test_image_files_are_written_by_tasks_in_few_folders(spark, tmp_path):
+    from tagflow.plans.source_queries import write_images
+
+    images = spark.range(2500).select(F.col("id").alias("s_suppkey"), F.concat(F.lit("x"), "id").alias("value"))
+    write_images(images, f"file://{tmp_path}/images")
+    assert sorted(os.listdir(tmp_path / "images")) == ["0", "1", "2"]  # not a folder for each image
+    found = {p.relative_to(tmp_path / "images").as_posix(): p.read_text() for p in (tmp_path / "images").rglob("*.*")}
+    assert found == {f"{i // 1000}/{i}.bmp": f"x{i}" for i in range(2500)}
