@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import threading
 import time
@@ -59,7 +60,7 @@ def call_client(client: Client, row: dict, prompt: str, attempts: int, delay: fl
             asked = getattr(e, "retry_after", None)
             if asked is not None and pace:
                 pace.hold(float(asked))
-            elif n < attempts:
+            elif n < attempts and delay > 0:
                 time.sleep(delay)
         except Exception as e:  # not worth a retry: the row stays, without an answer
             return None, n, f"{type(e).__name__}: {e}"
@@ -119,11 +120,15 @@ class _Window:
         self.pool = ThreadPoolExecutor(in_flight)
         self.ahead = 8 * in_flight  # rows that may be finished or running while an earlier one is not
 
-    def submit(self, row: dict, prompt: str) -> Future:
+    def submit(self, row: dict, prompt: str, arrived: Callable[[Answer], None]) -> Future:
+        """arrived gets the answer before the call counts as done."""
+
         def run() -> Answer:
             if not hasattr(self._own, "client"):
                 self._own.client = self._factory()
-            return self._one(self._own.client, row, prompt)
+            answer = self._one(self._own.client, row, prompt)
+            arrived(answer)
+            return answer
 
         return self.pool.submit(run)
 
@@ -161,23 +166,29 @@ def call_batch(
                 records = shown.to_dict("records")
                 places = frame["__bucket"].tolist() if journal is not None else [0] * len(frame)
                 answers: list[Answer] = [(None, 0, None)] * len(frame)
-                waiting: deque[tuple[int, str, Future]] = deque()
+                waiting: deque[tuple[int, str, Future]] = deque()  # row, key, call
 
                 def settle(most: int) -> None:
                     while len(waiting) > most:
                         book.poll()
-                        i, _, future = waiting[0]
+                        i, name, future = waiting[0]
                         if not future.done():
                             wait([future], timeout=0.2, return_when=FIRST_COMPLETED)
                             continue
                         waiting.popleft()
                         answers[i] = future.result()
+                        book.settled(name, answers[i])
 
                 for i, (row, text) in enumerate(zip(records, frame["__prompt"].tolist(), strict=True)):
                     name = call_key(row[key], text) if journal is not None else ""
-                    future = book.known(places[i], name) or window.submit(row, text)
-                    book.expect(places[i], name, row.get(key), future)
-                    waiting.append((i, name, future))
+                    held = book.known(places[i], name)
+                    if isinstance(held, tuple):
+                        answers[i] = held
+                        continue
+                    if held is None:
+                        held = window.submit(row, text, functools.partial(book.arrived, places[i], name, row.get(key)))
+                        book.expect(name, held)
+                    waiting.append((i, name, held))
                     settle(window.ahead)
                 settle(0)
                 book.flush()
@@ -194,29 +205,32 @@ class _Book:
     def __init__(self, journal: Journal | None) -> None:
         self._journal = journal
         self._bucket: int | None = None
-        self._known: dict[str, Future] = {}
-        self._open: list[tuple[int, str, object, Future]] = []
+        self._known: dict[str, Future | Answer] = {}  # of the bucket: calls under way, answers
+        self._new: deque[tuple[int, str, str | None, Answer]] = deque()  # not yet in the journal; calling threads add to it
         self._since = time.monotonic()
 
-    def known(self, bucket: int, key: str) -> Future | None:
+    def known(self, bucket: int, key: str) -> Future | Answer | None:
         if self._journal is None:
             return None
         if bucket != self._bucket:
-            self._bucket, self._known = bucket, {}
-            for k, answer in self._journal.read(bucket).items():
-                self._known[k] = Future()
-                self._known[k].set_result(answer)
+            self._bucket, self._known = bucket, dict(self._journal.read(bucket))
         return self._known.get(key)
 
-    def expect(self, bucket: int, key: str, name: object, future: Future) -> None:
-        if self._journal is not None and key not in self._known:
+    def expect(self, key: str, future: Future) -> None:
+        if self._journal is not None:
             self._known[key] = future
-            self._open.append((bucket, key, name, future))
-            self.poll()
+
+    def settled(self, key: str, answer: Answer) -> None:
+        """An answer takes the place of its call, which is larger."""
+        if key in self._known:
+            self._known[key] = answer
+
+    def arrived(self, bucket: int, key: str, name: object, answer: Answer) -> None:
+        if self._journal is not None:
+            self._new.append((bucket, key, None if name is None else str(name), answer))
 
     def poll(self) -> None:
-        done = sum(f.done() for *_, f in self._open)
-        if self._journal is not None and (done >= self._journal.every or (done and time.monotonic() - self._since > self._journal.seconds)):
+        if self._new and self._journal is not None and (len(self._new) >= self._journal.every or time.monotonic() - self._since > self._journal.seconds):
             self.flush()
 
     def flush(self) -> None:
@@ -224,13 +238,9 @@ class _Book:
         if self._journal is None:
             return
         ready: dict[int, list[tuple[str, str | None, Answer]]] = {}
-        still = []
-        for bucket, key, name, future in self._open:
-            if future.done():
-                ready.setdefault(bucket, []).append((key, None if name is None else str(name), future.result()))
-            else:
-                still.append((bucket, key, name, future))
-        self._open = still
+        for _ in range(len(self._new)):
+            bucket, key, name, answer = self._new.popleft()
+            ready.setdefault(bucket, []).append((key, name, answer))
         for bucket, rows in ready.items():
             self._journal.add(bucket, rows)
         self._since = time.monotonic()

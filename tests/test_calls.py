@@ -135,3 +135,27 @@ def test_a_journal_of_no_rows_and_of_null_names(spark, tmp_path):
     out = T.tag_batch(rows, lambda: lambda row, prompt: "x", "p", journal=journal).collect()
     assert len(out) == 3 and {r.raw for r in out} == {"x"}
     assert T.tag_batch(rows.limit(0), Gated, "p", journal=journal).collect() == []
+
+
+def test_a_book_looks_at_no_call_again(tmp_path, monkeypatch):
+    """A row's cost does not grow with the answers that wait for the journal: only those that arrived are looked at, once."""
+    import tagflow.operators.calls as K
+
+    asked = []
+    done = K.Future.done
+    monkeypatch.setattr(K.Future, "done", lambda self: asked.append(1) or done(self))
+    journal = Journal(str(tmp_path), buckets=1, every=1000, seconds=60.0)
+    book, window = K._Book(journal), K._Window(lambda: None, 2, lambda client, row, text: (text, 1, None))
+    for i in range(400):
+        assert book.known(0, str(i)) is None
+        call = window.submit({}, str(i), lambda answer, i=i: book.arrived(0, str(i), i, answer))
+        book.expect(str(i), call)
+        assert book.known(0, str(i)) is call
+        book.settled(str(i), call.result())
+        book.poll()
+        assert book.known(0, str(i)) == (str(i), 1, None)
+    assert not asked and journal.read(0) == {}
+    book.flush()
+    book.flush()
+    window.pool.shutdown()
+    assert journal.read(0) == {str(i): (str(i), 1, None) for i in range(400)}
