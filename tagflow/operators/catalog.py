@@ -45,17 +45,20 @@ def duplicate_rows(catalog: DataFrame, category: str | None = None) -> DataFrame
 def duplicate_stems(catalog: DataFrame, category: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """duplicate_counts() with occ, the stem's (subcat, path) in path order, and chunk: a row, from 0, for so many of them.
 
-    Stems are counted before anything is listed: those with one image never are. A stem of more than chunk images is placed
-    in ranges of its paths, so that no task gets all of them.
+    Stems are counted before anything is listed: those with one image never are. A stem of at most CHUNK images (or chunk, if that is
+    more) is listed at once and cut; one of more is placed in ranges of its paths, so that no task gets all of them.
     """
     counts = written(duplicate_counts(catalog, category), "duplicate_counts")
     found = _below_subcategories(catalog, category).join(counts, ["category", "name"]).select(*counts.columns, F.col("subcategory").alias("subcat"), "path", path_order(F.col("path")).alias("k"))
-    few = found.where(F.col("occurrences") <= chunk).withColumn("chunk", F.lit(0).cast("long"))
-    if not counts.where(F.col("occurrences") > chunk).isEmpty():
-        many = place_in(found.where(F.col("occurrences") > chunk), ["category", "name"], ["k"], "place")
-        few = few.unionByName(many.withColumn("chunk", F.floor(F.col("place") / chunk)).drop("place"))
-    listed = few.groupBy(*counts.columns, "chunk").agg(F.array_sort(F.collect_list(F.struct("k", F.struct("subcat", "path").alias("x")))).alias("occ"))
-    return listed.select(*counts.columns, F.transform("occ", lambda x: x["x"]).alias("occ"), "chunk")
+    most = max(chunk, CHUNK)
+    occ = F.transform(F.array_sort(F.collect_list(F.struct("k", F.struct("subcat", "path").alias("x")))), lambda y: y["x"])
+    whole = found.where(F.col("occurrences") <= most).groupBy(*counts.columns).agg(occ.alias("all"))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("all") - 1) / chunk).cast("int")), lambda i: F.slice("all", i * chunk + 1, F.lit(chunk)))
+    listed = whole.select(*counts.columns, F.posexplode(parts).alias("chunk", "occ")).select(*counts.columns, "occ", F.col("chunk").cast("long").alias("chunk"))
+    if not counts.where(F.col("occurrences") > most).isEmpty():
+        many = place_in(found.where(F.col("occurrences") > most), ["category", "name"], ["k"], "place").withColumn("chunk", F.floor(F.col("place") / chunk))
+        listed = listed.unionByName(many.groupBy(*counts.columns, "chunk").agg(occ.alias("occ")))
+    return listed
 
 
 def duplicate_summary(dups: DataFrame) -> DataFrame:

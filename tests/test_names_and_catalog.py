@@ -219,3 +219,17 @@ def test_stems_of_many_images_are_listed_in_chunks(spark):
     plan = C.quarantine_plan(C.duplicate_rows(images), "/q")
     assert sorted(map(repr, plan.collect())) == sorted(map(repr, C.quarantine_plan(C.duplicate_stems(images), "/q").collect()))
     assert plan.count() == 2502 and plan.where("NOT clash").count() == 0
+
+
+def test_small_chunks_of_short_lists_need_no_ranges(spark, monkeypatch):
+    paths = [f"r/c/s{i % 3}/{i:04d}/x.jpg" for i in range(7)] + [f"r/c/s{i % 2}/y{i}/y.jpg" for i in range(4)] + ["r/c/s0/one.jpg"]
+    images = catalog_from_paths(spark.createDataFrame([(p,) for p in paths], "path string"), root="r")
+    with monkeypatch.context() as m:
+        m.setattr(C, "place_in", lambda *a: pytest.fail("placed by ranges"))
+        short = C.duplicate_stems(images, chunk=3).collect()
+    monkeypatch.setattr(C, "CHUNK", 1)
+    ranged = C.duplicate_stems(images, chunk=3).collect()  # x by ranges: the same rows
+    assert sorted(map(repr, short)) == sorted(map(repr, ranged))
+    assert sorted((r.name, r.chunk, len(r.occ)) for r in short) == [("x", 0, 3), ("x", 1, 3), ("x", 2, 1), ("y", 0, 3), ("y", 1, 1)]
+    for n in ("x", "y"):
+        assert [o.path for r in sorted(short, key=lambda r: r.chunk) if r.name == n for o in r.occ] == sorted(p for p in paths if p.endswith(f"/{n}.jpg"))
