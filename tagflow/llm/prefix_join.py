@@ -188,6 +188,8 @@ def _candidates(percent: int, most_each: int = 8):
     more than most_each a member, one row without them: that meeting needs the whole sets."""
 
     def find(rows: pa.Table) -> pa.Table:
+        import pyarrow.compute  # noqa: F401  here, for a worker in which nothing else has imported it
+
         left, right = (rows.filter(pa.compute.equal(rows.column("side"), k)) for k in (0, 1))
         own = {c: right.column(c).to_numpy() for c in ("id", "comp", "n", "pos")}
         found_a, found_b, total, most = [], [], 0, most_each * len(rows)
@@ -205,8 +207,6 @@ def _candidates(percent: int, most_each: int = 8):
         one = pa.array([0] * max(1, len(a)))
         return pa.table({"at": rows.column("at").combine_chunks().take(one), "a": pa.array([None] if dense else a, pa.int64()), "b": pa.array([None] if dense else b, pa.int64())})
 
-    import pyarrow.compute  # noqa: F401
-
     return find
 
 

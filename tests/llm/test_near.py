@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tagflow.llm.prefix_join import jaccard_components, keep_one
+from tagflow.llm.prefix_join import _candidates, jaccard_components, keep_one
 from tagflow.llm.shared import components
 from tests.llm.conftest import make_text
 
@@ -106,3 +106,9 @@ def test_keep_one_with_columns_that_have_no_order(spark):
     rows = [(1, "a b c d e f g", {"k": 2}, "x"), (1, "a b c d e f g", {"k": 1}, "y"), (2, "other words here now", None, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, `a.b` string")
     assert sorted((r.doc_id, r.tags, r["a.b"]) for r in keep_one(docs).collect()) == [(1, {"k": 1}, "y"), (2, None, "z")]
+
+
+def test_candidates_in_a_worker_that_has_run_nothing_before(spark, monkeypatch):
+    monkeypatch.setitem(spark.sparkContext.environment, "TAGFLOW_TEST_WORKERS", "new")  # workers of another environment are not reused
+    members = spark.createDataFrame([(1, 1, 1, 10, 0, 0), (1, 2, 2, 10, 0, 1), (1, 1, 1, 10, 0, 1)], "at long, id long, comp long, n long, pos long, side int")
+    assert [tuple(r) for r in members.groupBy("at").applyInArrow(_candidates(80), "at long, a long, b long").collect()] == [(1, 1, 2)]
