@@ -32,6 +32,7 @@ class Tool:
 
 #: Of plain chat turns: the call is what the user asks.
 CHAT_TOOLS = {"reply": Tool({"prompt": "string", "system": "string", "turn": "integer"}, ("prompt", "turn"))}
+DEEPEST = 500  # arrays and objects within each other; Python's own limit differs between versions, from under 1,000 to 10,000
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
 
 
@@ -39,11 +40,23 @@ def _no_json(name: str) -> None:
     raise ValueError(f"{name} is no JSON")
 
 
+def _too_deep(value: object) -> bool:
+    level = [value]
+    for _ in range(DEEPEST + 1):
+        level = [x for x in level if isinstance(x, (dict, list))]
+        if not level:
+            return False
+        level = [y for x in level for y in (x.values() if isinstance(x, dict) else x)]
+    return True
+
+
 def parsed(arguments: str | None) -> tuple[bool, object]:
     """(whether the text is JSON, its value or the text as it is). What cannot be written again as JSON in UTF-8 is none: NaN and infinite numbers,
-    halves of surrogate pairs, brackets nested too deep."""
+    halves of surrogate pairs; nor are more than DEEPEST arrays and objects within each other."""
     try:
         value = json.loads(arguments or "", parse_constant=_no_json)
+        if _too_deep(value):
+            return False, arguments
         canonical(value).encode()
         return True, value
     except (ValueError, RecursionError):
@@ -51,7 +64,7 @@ def parsed(arguments: str | None) -> tuple[bool, object]:
 
 
 def argument_error(tools: dict[str, Tool], name: str | None, valid: bool, given: object) -> str | None:
-    """What is wrong with a call's parsed arguments, or None. The first error by argument name."""
+    """What is wrong with a call's parsed arguments, or None. The first by argument name: of required ones that are missing, else of those given."""
     tool = tools.get(name or "")
     if tool is None:
         return "unknown tool"
@@ -59,9 +72,10 @@ def argument_error(tools: dict[str, Tool], name: str | None, valid: bool, given:
         return "arguments are not JSON"
     if not isinstance(given, dict):
         return "arguments are not an object"
-    for key in sorted({*given, *tool.required}):
-        if key not in given:
-            return f"missing {key}"
+    missing = sorted({*tool.required} - {*given})
+    if missing:
+        return f"missing {missing[0]}"
+    for key in sorted(given):
         kind = tool.arguments.get(key)
         if kind is None:
             if not tool.more:

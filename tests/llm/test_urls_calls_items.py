@@ -239,6 +239,16 @@ def test_arguments_that_are_no_json_in_utf8_kill_no_task(spark):
     assert json.loads(out["k9"].json)["arguments"] == {"a": "\U0001f600"} and out["k9"].error == "missing prompt"
 
 
+def test_nesting_of_arguments_has_one_limit_for_every_python():
+    from tagflow.llm.tool_calls import DEEPEST, parsed
+
+    nested = lambda n: ("[" * n + "]" * n, '{"a":' * n + "1" + "}" * n, '[{"a":' * (n // 2) + "[]" * (n % 2) + ("" if n % 2 else "1") + "}]" * (n // 2))
+    assert all(parsed(t) == (True, json.loads(t)) for n in (1, 2, DEEPEST - 1, DEEPEST) for t in nested(n) if t)
+    assert all(parsed(t) == (False, t) for n in (DEEPEST + 1, 5000) for t in nested(n))
+    wide = json.dumps({"a": [[{}]] * 2000, "b": "[" * 2000})
+    assert parsed(wide) == (True, json.loads(wide))
+
+
 def test_turns_without_a_call_are_given_with_a_reason(spark):
     from tagflow.llm.tool_calls import turns_without_call
 
